@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -31,8 +31,17 @@ def group_cardinality(tf: DataFrame, group: str = "topic") -> DataFrame:
     return tf.agg(F.count_distinct(group).alias("n_groups"))
 
 
-def tfidf(tf: DataFrame, df: DataFrame, n_groups: Column, term: str = "word",
-          places: int | None = 6) -> DataFrame:
+def with_document_frequency(tf: DataFrame, term: str = "word") -> DataFrame:
+    """Every TF row with its term's df, i.e. TF joined on ``term`` with :func:`document_frequency`.
+
+    Written as a count over a window partitioned by the term: one shuffle of
+    the TF rows by term serves both the DF aggregate and the join, and a
+    term has at most one TF row per group, so no window partition is hot.
+    """
+    return tf.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy(term)))
+
+
+def tfidf(tf: DataFrame, n_groups: Column, term: str = "word", places: int | None = 6) -> DataFrame:
     """score = tf * ln(N / df) for every (group, term).
 
     ``n_groups`` is a scalar Column (e.g. ``group_cardinality(tf).scalar()``),
@@ -41,4 +50,4 @@ def tfidf(tf: DataFrame, df: DataFrame, n_groups: Column, term: str = "word",
     score = F.col("tf") * F.ln(n_groups.cast("double") / F.col("df"))
     if places is not None:
         score = F.round(score, places)
-    return tf.join(df, term, "inner").withColumn("score", score)
+    return with_document_frequency(tf, term).withColumn("score", score)

@@ -16,9 +16,28 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-distribute a scan that Spark reads in fewer tasks than there are cores.
+
+    A parquet row group is the smallest unit a scan task reads, so a table
+    stored as one row group is scanned by one task and every per-row step
+    after it (text cleaning, explode, partial aggregation) runs on one core.
+    Such an input is small by construction, and redistributing it on ``key``
+    costs little. A large input already yields more splits than cores and is
+    returned untouched, so at scale this adds no shuffle. The partition count
+    is the shuffle partition count, so a later join or aggregate on ``key``
+    reuses this partitioning instead of shuffling again.
+    """
+    spark = df.sparkSession
+    if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """user_id, movie_id, rating, ts: one row per line item, keyed by the order's customer."""
-    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
+    li = spread(_read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate"),
+                "l_orderkey")
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return (li.join(orders, li.l_orderkey == orders.o_orderkey)
             .select(F.col("o_custkey").alias("user_id"),
@@ -74,7 +93,7 @@ def occupation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, review, topic (language), aspect (source), sentiment (from the quality label or NULL)."""
-    d = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    d = spread(_read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
     lab = _read(spark, sf_dir, "labels").select("doc_id", "quality")
     sentiment = (F.when(F.col("quality") == 1, "positive")
                  .when(F.col("quality") == 0, "negative"))
@@ -94,5 +113,10 @@ STOPWORDS = [
 
 
 def stopwords(spark: SparkSession) -> DataFrame:
-    """The stop-word list as a one-column frame (a bounded dimension)."""
-    return spark.createDataFrame([(w,) for w in STOPWORDS], "word string")
+    """The stop-word list as a one-column frame (a bounded dimension).
+
+    Built from a one-row range so the optimizer knows its (tiny) size and
+    plans the anti join as a broadcast; a frame made from a Python list
+    would carry no size estimate and force a shuffle of every token.
+    """
+    return spark.range(1).select(F.explode(F.array(*[F.lit(w) for w in STOPWORDS])).alias("word"))
