@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from critiq.functions.text import normalize_text, split_tokens
+from critiq.functions.text import tokenize
 
 
 def remove_stopwords(tokens: DataFrame, stopwords: DataFrame, col: str = "word") -> DataFrame:
@@ -28,5 +28,5 @@ def review_tokens(reviews: DataFrame, stopwords: DataFrame, text: str = "review"
     Each review is cleaned, split and exploded in one projection (no shuffle);
     the only join is the anti join with the word list.
     """
-    words = reviews.select(F.explode(split_tokens(normalize_text(text))).alias("word"), *keep)
+    words = reviews.select(F.explode(tokenize(text)).alias("word"), *keep)
     return remove_stopwords(words, stopwords)

@@ -18,7 +18,7 @@ from critiq import plans
 from critiq.functions.buckets import age_group_half_open, age_group_inclusive
 from critiq.functions.format import fixed
 from critiq.functions.numeric import round_half_even
-from critiq.functions.text import normalize_text, split_tokens
+from critiq.functions.text import normalize_text, tokenize
 from critiq.operators import (
     dedupe_dimension, distinct_pairs, document_frequency, explode_list, group_cardinality,
     lookup, rating_stats, remove_stopwords, review_tokens, snowflake_lookup, sort_desc_tiebreak,
@@ -249,7 +249,7 @@ SELECT topic, word, tf, (SELECT count(DISTINCT topic) FROM tf) AS n_groups FROM
 register("anti_join_wordlist", with_tables("raw_words", "stopwords") + """
 SELECT w.id, w.word FROM raw_words w WHERE NOT EXISTS (SELECT 1 FROM stopwords s WHERE s.word = w.word)
 """)(lambda spark, d: remove_stopwords(
-    tables.reviews(spark, d).select("id", F.explode(split_tokens(normalize_text("review"))).alias("word")),
+    tables.reviews(spark, d).select("id", F.explode(tokenize("review")).alias("word")),
     tables.stopwords(spark)))
 
 register("normalize_text", with_tables("reviews") + r"""

@@ -116,3 +116,18 @@ def test_topic_top_words_by_sentiment(spark):
 def test_argmax_with_ties_on_empty_input(spark):
     df = spark.createDataFrame([], "aspect string, n long")
     assert argmax_with_ties(df, "n").collect() == []
+
+
+def test_one_pass_tokenizer_equals_clean_then_split(spark):
+    import random
+
+    from critiq.functions import split_tokens, tokenize
+
+    alphabet = list("abcXYZ éÀỹỺ×÷ωЖ\t\n\x0b\f\r\"(),*.;:!?0129'-_") + [" ", " ", " ", "😀"]
+    rnd = random.Random(7)
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40))) for _ in range(400)]
+    texts += ["", "   ", "12345", "ĐẸP,quá(ok)*yes\"no\"", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    two = {r.i: r.a for r in df.select("i", split_tokens(normalize_text("t")).alias("a")).collect()}
+    one = {r.i: r.a for r in df.select("i", tokenize("t").alias("a")).collect()}
+    assert two == one
