@@ -41,10 +41,13 @@ def build_session(master: str | None = None, partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder named by the cluster.
+    """Return the folder used by ``DataFrame.checkpoint``.
 
-    The cluster's ``spark.checkpoint.dir`` (a shared file system) wins. Only
-    when it is unset, as in local tests, a fresh scratch folder is used.
+    The folder the cluster names in ``spark.checkpoint.dir`` (a shared file
+    system) always wins. Only a local-mode session (tests, a laptop) without
+    that setting gets a fresh scratch folder; on a cluster a missing setting
+    is an error, because a machine-local folder would not survive the loss
+    of the executor that wrote it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (e.g. on HDFS or an object store)")
         configured = tempfile.mkdtemp(prefix="critiq-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
