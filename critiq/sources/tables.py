@@ -16,28 +16,30 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-distribute a scan that Spark reads in fewer tasks than there are cores.
 
     A parquet row group is the smallest unit a scan task reads, so a table
     stored as one row group is scanned by one task and every per-row step
     after it (text cleaning, explode, partial aggregation) runs on one core.
-    Such an input is small by construction, and redistributing it on ``key``
-    costs little. A large input already yields more splits than cores and is
-    returned untouched, so at scale this adds no shuffle. The partition count
-    is the shuffle partition count, so a later join or aggregate on ``key``
-    reuses this partitioning instead of shuffling again.
+    Such an input is small by construction, and redistributing it costs
+    little. A large input already yields more splits than cores and is
+    returned untouched, so at scale this adds no shuffle. ``keys`` should be
+    unique per row (e.g. order key and line number), so that a hot join key
+    cannot pile its rows into one partition; hashing keeps the placement
+    deterministic when a task is retried.
     """
     spark = df.sparkSession
     if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
         return df
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """user_id, movie_id, rating, ts: one row per line item, keyed by the order's customer."""
-    li = spread(_read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate"),
-                "l_orderkey")
+    li = spread(_read(spark, sf_dir, "lineitem")
+                .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate"),
+                "l_orderkey", "l_linenumber")
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return (li.join(orders, li.l_orderkey == orders.o_orderkey)
             .select(F.col("o_custkey").alias("user_id"),
