@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,3 +40,8 @@ def tokenize(col: Column | str) -> Column:
     """
     c = F.col(col) if isinstance(col, str) else col
     return F.regexp_extract_all(F.lower(c), F.lit(TOKEN_RUN), 0)
+
+
+def regex_literal(text: str) -> str:
+    """A Java regex matching ``text`` literally (for ``split`` on a separator)."""
+    return re.escape(text)

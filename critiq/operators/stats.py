@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from critiq.functions.numeric import round_half_even
+from critiq.functions.text import regex_literal
 
 
 def _avg(total: Column, n: Column) -> Column:
@@ -50,9 +51,8 @@ def rating_stats(ratings: DataFrame, keys: Sequence[str], places: int | None = 4
 
 def explode_list(df: DataFrame, list_col: str, item_col: str, sep: str = "|") -> DataFrame:
     """one row per trimmed item of a ``sep`` separated list column."""
-    pattern = "".join("\\" + ch if ch in r".^$*+?()[]{}|\/" else ch for ch in sep)
-    return df.withColumn(item_col, F.explode(F.split(F.col(list_col), pattern))) \
-             .withColumn(item_col, F.trim(F.col(item_col))).drop(list_col)
+    items = F.transform(F.split(F.col(list_col), regex_literal(sep)), F.trim)
+    return df.withColumn(item_col, F.explode(items)).drop(list_col)
 
 
 def category_sums(ratings: DataFrame, key: str, category_col: str, categories: Sequence[str],

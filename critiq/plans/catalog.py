@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from critiq import plans
 from critiq.functions.buckets import age_group_half_open, age_group_inclusive
-from critiq.functions.format import fixed
+from critiq.functions.format import fixed, with_placeholder
 from critiq.functions.numeric import round_half_even
 from critiq.functions.text import normalize_text, tokenize
 from critiq.operators import (
@@ -130,15 +130,15 @@ LEFT JOIN movies m ON s.movie_id = m.movie_id
 
 
 def _long_sql(category: str, grp_expr: str, values: list[str]) -> str:
-    vals = ", ".join(f"('{v}')" for v in values)
+    vals = ", ".join(f"('{v}', {i + 1})" for i, v in enumerate(values))
     return with_tables("ratings", "users", "movies") + f"""
 , r AS (SELECT r.movie_id, r.rating, coalesce({grp_expr}, 'Unknown') AS {category}
         FROM ratings r LEFT JOIN users u ON r.user_id = u.user_id),
 s AS (SELECT movie_id, {category}, round_even(avg(rating), 4) AS avg_rating, count(rating) AS n
       FROM r GROUP BY movie_id, {category}),
 mv AS (SELECT DISTINCT movie_id FROM ratings),
-cats AS (SELECT * FROM (VALUES {vals}) AS t({category}))
-SELECT mv.movie_id, coalesce(m.title, 'Unknown') AS title, c.{category}, s.avg_rating,
+cats AS (SELECT * FROM (VALUES {vals}) AS t({category}, category_order))
+SELECT mv.movie_id, coalesce(m.title, 'Unknown') AS title, c.{category}, c.category_order, s.avg_rating,
        CASE WHEN coalesce(s.n, 0) > 0 THEN printf('%.4f', s.avg_rating) ELSE 'NaN' END AS avg_text,
        coalesce(s.n, 0) AS n
 FROM mv CROSS JOIN cats c
@@ -399,6 +399,74 @@ FROM (SELECT row_number() OVER (ORDER BY s.avg_rating DESC, s.movie_id) AS rank,
     [("rank", 5, "<"), ("title", 50, "<"), (fixed("avg_rating", 4), 7, ">"), ("n", 7, ">")], keep=["rank"]))
 
 
+def _wide_lines_sql(select_wide: str, value_sql: str) -> str:
+    return select_wide + f"""
+SELECT movie_id, title || chr(9) || {value_sql} AS line FROM wide
+"""
+
+
+_GENDER_WIDE_CTE = with_tables("ratings", "users", "movies") + """, wide AS (
+SELECT s.movie_id, coalesce(m.title, 'Unknown') AS title, s.male, s.female
+FROM (SELECT r.movie_id,
+             CAST(avg(CASE WHEN u.gender = 'M' THEN r.rating END) AS FLOAT) AS male,
+             CAST(avg(CASE WHEN u.gender = 'F' THEN r.rating END) AS FLOAT) AS female
+      FROM ratings r JOIN users u ON r.user_id = u.user_id GROUP BY r.movie_id) s
+LEFT JOIN movies m ON s.movie_id = m.movie_id)"""
+
+register("render_placeholder", _wide_lines_sql(
+    _GENDER_WIDE_CTE,
+    "'Male: ' || coalesce(CAST(male AS VARCHAR), 'N/A') || ', Female: ' || coalesce(CAST(female AS VARCHAR), 'N/A')"))(
+    lambda spark, d: render_key_value(
+        plans.movie_gender_wide(tables.ratings(spark, d), tables.users(spark, d), tables.movies(spark, d)),
+        "title", F.concat(F.lit("Male: "), with_placeholder("male", "N/A"),
+                          F.lit(", Female: "), with_placeholder("female", "N/A")), keep=["movie_id"]))
+
+_AGE_WIDE_CTE = with_tables("ratings", "users", "movies") + f""", wide AS (
+SELECT s.movie_id, coalesce(m.title, 'Unknown') AS title, s.a0, s.a1, s.a2, s.a3
+FROM (SELECT movie_id,
+             CAST(avg(CASE WHEN grp = '0-18' THEN rating END) AS FLOAT) AS a0,
+             CAST(avg(CASE WHEN grp = '18-35' THEN rating END) AS FLOAT) AS a1,
+             CAST(avg(CASE WHEN grp = '35-50' THEN rating END) AS FLOAT) AS a2,
+             CAST(avg(CASE WHEN grp = '50+' THEN rating END) AS FLOAT) AS a3
+      FROM (SELECT r.movie_id, r.rating, {_P6} AS grp FROM ratings r JOIN users u ON r.user_id = u.user_id) x
+      GROUP BY movie_id) s
+LEFT JOIN movies m ON s.movie_id = m.movie_id)"""
+
+
+def _age_wide_lines(spark, d):
+    wide = plans.movie_age_wide(tables.ratings(spark, d), tables.users(spark, d), tables.movies(spark, d))
+    parts = []
+    for label, col in zip(["0-18", "18-35", "35-50", "50+"], ["avg_0_18", "avg_18_35", "avg_35_50", "avg_50_plus"]):
+        parts.append(F.concat(F.lit(label + ": "), with_placeholder(col, "NA")))
+    return render_key_value(wide, "title", F.concat_ws("\t", *parts), keep=["movie_id"])
+
+
+register("render_placeholder_age", _wide_lines_sql(
+    _AGE_WIDE_CTE,
+    "'0-18: ' || coalesce(CAST(a0 AS VARCHAR), 'NA') || chr(9) || '18-35: ' || coalesce(CAST(a1 AS VARCHAR), 'NA')"
+    " || chr(9) || '35-50: ' || coalesce(CAST(a2 AS VARCHAR), 'NA') || chr(9) || '50+: '"
+    " || coalesce(CAST(a3 AS VARCHAR), 'NA')"))(_age_wide_lines)
+
+register("render_csv_lines", with_tables("ratings", "users", "movies") + """
+, r AS (SELECT r.movie_id, r.rating, coalesce(u.gender, 'Unknown') AS gender
+        FROM ratings r LEFT JOIN users u ON r.user_id = u.user_id),
+s AS (SELECT movie_id, gender, round_even(avg(rating), 4) AS avg_rating, count(rating) AS n FROM r GROUP BY ALL),
+mv AS (SELECT DISTINCT movie_id FROM ratings),
+cats AS (SELECT * FROM (VALUES ('F'), ('M')) AS t(gender)),
+long AS (
+  SELECT mv.movie_id, coalesce(m.title, 'Unknown') AS title, c.gender,
+         CASE WHEN coalesce(s.n, 0) > 0 THEN CAST(s.avg_rating AS VARCHAR) ELSE 'NaN' END AS avg_out,
+         coalesce(s.n, 0) AS n
+  FROM mv CROSS JOIN cats c
+  LEFT JOIN s ON s.movie_id = mv.movie_id AND s.gender = c.gender
+  LEFT JOIN movies m ON m.movie_id = mv.movie_id)
+SELECT movie_id, gender, concat_ws(',', CAST(movie_id AS VARCHAR), title, gender, avg_out, CAST(n AS VARCHAR)) AS line
+FROM long
+""")(lambda spark, d: render_delimited(
+    plans.movie_gender_long(tables.ratings(spark, d), tables.users(spark, d), tables.movies(spark, d)),
+    ["movie_id", "title", "gender", with_placeholder("avg_rating", "NaN"), "n"], ",", keep=["movie_id", "gender"]))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

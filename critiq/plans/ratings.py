@@ -111,12 +111,15 @@ def movie_age_wide(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> D
 def _long_output(long: DataFrame, movies: DataFrame, category: str) -> DataFrame:
     text = F.when(F.col("n") > 0, fixed("avg_rating", 4)).otherwise(F.lit(NAN_TEXT))
     titled = lookup(long, _titles(movies), "movie_id", "default", {"title": UNKNOWN_TITLE})
-    return titled.select("movie_id", "title", category, "avg_rating", text.alias("avg_text"), "n")
+    return titled.select("movie_id", "title", category, "category_order", "avg_rating", text.alias("avg_text"), "n")
 
 
 def movie_gender_long(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
     """L3B3: every rated movie x (F, M): avg_rating (4 dp, NULL when n = 0), avg_text, n.
 
+    ``category_order`` is the position in the fixed list (O3): a report is
+    ``orderBy("movie_id", "category_order")``.
+
     Unknown users form an ``Unknown`` group that the fixed category list then
     leaves out, while their movies stay (D2).
     """

@@ -57,3 +57,14 @@ def write_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K2: tab-separated lines, no header, no quoting; NULL as the empty field."""
     write_lines(render_tsv(df), path, mode)
+
+
+def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
+    """K4: comma-separated files without header.
+
+    Fields holding the separator (titles with commas) are quoted, so the
+    files read back with the same columns; NULL is the empty field.
+    """
+    (df.write.mode(mode).option("sep", sep).option("header", "false")
+     .option("quote", '"').option("escape", '"').option("nullValue", "")
+     .csv(path))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from critiq import schemas
+from critiq.functions.text import regex_literal
 
 
 def _paths(paths: str | Iterable[str]) -> list[str]:
@@ -120,7 +121,7 @@ def parse_delimited(line: Column | str, sep: str, schema: T.StructType,
     otherwise ``try_cast`` yields NULL.
     """
     col = F.col(line) if isinstance(line, str) else line
-    parts = F.split(col, _regex_quote(sep), len(schema.fields))
+    parts = F.split(col, regex_literal(sep), len(schema.fields))
     out = []
     for i, field in enumerate(schema.fields):
         raw = F.trim(F.get(parts, i))
@@ -132,7 +133,3 @@ def parse_delimited(line: Column | str, sep: str, schema: T.StructType,
             typed = raw.try_cast(field.dataType)
         out.append(typed.alias(field.name))
     return out
-
-
-def _regex_quote(sep: str) -> str:
-    return "".join("\\" + ch if ch in r".^$*+?()[]{}|\/" else ch for ch in sep)

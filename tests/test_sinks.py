@@ -1,0 +1,37 @@
+"""Renderers and writers (K1–K5)."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from critiq.functions import fixed, with_placeholder
+from critiq.sinks import render_delimited, render_key_value, render_report_lines, write_csv
+
+
+def test_report_lines_pad_but_never_truncate(spark):
+    long_title = "The Lord of the Rings: The Fellowship of the Ring (2001)"
+    df = spark.createDataFrame([(1, "Up", 4.25, 7), (2, long_title, 3.88889, 18)],
+                               "rank long, title string, avg double, n long")
+    lines = {r["rank"]: r.line for r in render_report_lines(
+        df, [("rank", 5, "<"), ("title", 20, "<"), (fixed("avg", 4), 7, ">"), ("n", 7, ">")],
+        keep=["rank"]).collect()}
+    assert lines[1] == f"{1:<5} {'Up':<20} {4.25:>7.4f} {7:>7}"
+    assert lines[2] == f"{2:<5} {long_title:<20} {3.88889:>7.4f} {18:>7}"
+
+
+def test_key_value_with_placeholders(spark):
+    df = spark.createDataFrame([("A", 4.5, None)], "title string, male float, female float")
+    value = F.concat(F.lit("Male: "), with_placeholder("male", "N/A"), F.lit(", Female: "),
+                     with_placeholder("female", "N/A"))
+    assert render_key_value(df, "title", value).collect()[0].line == "A\tMale: 4.5, Female: N/A"
+
+
+def test_delimited_and_csv_roundtrip(spark, scratch):
+    df = spark.createDataFrame([(1, "Crouching Tiger, Hidden Dragon", None), (2, "Up", 3.5)],
+                               "movie_id long, title string, avg double")
+    assert sorted(r.line for r in render_delimited(df, ["title", "movie_id", "avg"], "::").collect()) == [
+        "Crouching Tiger, Hidden Dragon::1::", "Up::2::3.5"]
+    out = os.path.join(scratch, "csv")
+    write_csv(df, out)
+    back = spark.read.schema(df.schema).option("quote", '"').option("escape", '"').csv(out)
+    assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in df.collect())
