@@ -10,6 +10,6 @@ from critiq.operators.ranking import (  # noqa: F401
 )
 from critiq.operators.tokens import remove_stopwords, review_tokens  # noqa: F401
 from critiq.operators.tfidf import (  # noqa: F401
-    distinct_pairs, document_frequency, group_cardinality, term_frequency, tfidf,
+    distinct_pairs, document_frequency, group_cardinality, group_count, term_frequency, tfidf,
     with_document_frequency,
 )

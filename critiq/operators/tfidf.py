@@ -41,10 +41,21 @@ def with_document_frequency(tf: DataFrame, term: str = "word") -> DataFrame:
     return tf.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy(term)))
 
 
+def group_count(tf: DataFrame, group: str = "topic") -> Column:
+    """N as a scalar Column: the number of distinct non-NULL groups in the TF rows.
+
+    The filter on ``tf`` (always >= 1) keeps the count column in the
+    subquery's plan, so the subquery's TF aggregate is the same plan as the
+    main query's and Spark reuses that shuffle instead of reading and
+    tokenising the text a second time.
+    """
+    return group_cardinality(tf.where(F.col("tf") > 0), group).scalar()
+
+
 def tfidf(tf: DataFrame, n_groups: Column, term: str = "word", places: int | None = 6) -> DataFrame:
     """score = tf * ln(N / df) for every (group, term).
 
-    ``n_groups`` is a scalar Column (e.g. ``group_cardinality(tf).scalar()``),
+    ``n_groups`` is a scalar Column (e.g. :func:`group_count`),
     so no cross join is planned. Terms in every group score 0 and stay (D17).
     """
     score = F.col("tf") * F.ln(n_groups.cast("double") / F.col("df"))

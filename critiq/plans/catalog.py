@@ -20,7 +20,7 @@ from critiq.functions.format import fixed, with_placeholder
 from critiq.functions.numeric import round_half_even
 from critiq.functions.text import normalize_text, tokenize
 from critiq.operators import (
-    dedupe_dimension, distinct_pairs, document_frequency, explode_list, group_cardinality,
+    dedupe_dimension, distinct_pairs, document_frequency, explode_list, group_cardinality, group_count,
     lookup, rating_stats, remove_stopwords, review_tokens, snowflake_lookup, sort_desc_tiebreak,
     term_frequency,
 )
@@ -239,7 +239,7 @@ register("distinct_pairs", with_tables("tokens") + "SELECT DISTINCT word, topic
 
 def _cross_scalar(spark, d):
     tf = term_frequency(_tokens(spark, d))
-    return tf.withColumn("n_groups", group_cardinality(tf).scalar())
+    return tf.withColumn("n_groups", group_count(tf))
 
 
 register("cross_scalar", with_tables("tf") + """

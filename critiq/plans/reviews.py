@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from critiq.operators.ranking import argmax_with_ties, sort_desc_tiebreak, top_k_per_group
-from critiq.operators.tfidf import group_cardinality, term_frequency, tfidf
+from critiq.operators.tfidf import group_count, term_frequency, tfidf
 
 
 def word_freq_over(tokens: DataFrame, threshold: int = 500) -> DataFrame:
@@ -53,7 +53,7 @@ def topic_top_words(tokens: DataFrame, sentiment: str, k: int = 5) -> DataFrame:
 def tfidf_scores(tokens: DataFrame) -> DataFrame:
     """L2B5 body: topic, word, tf, df, score = tf * ln(N / df) (6 dp) for every pair."""
     tf = term_frequency(tokens)
-    n_topics = group_cardinality(tf.where(F.col("tf") > 0)).scalar()
+    n_topics = group_count(tf)
     return tfidf(tf, n_topics).select("topic", "word", "tf", "df", "score")
 
 

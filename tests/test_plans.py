@@ -57,3 +57,10 @@ def test_occupation_joins_see_per_user_rows(spark):
     # the fact is aggregated per user before the user lookup
     first_join = plan.index("Join")
     assert "HashAggregate(keys=[user_id" in plan[first_join:]
+
+
+@pytest.mark.parametrize("name", ["topic_top_tfidf", "cross_scalar", "top_negative_aspect", "best_movie"])
+def test_scalar_subqueries_reuse_the_main_shuffle(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    df.collect()
+    assert "ReusedExchange" in explain_text(df, "simple")
