@@ -31,7 +31,7 @@ def finish_stats(sums: DataFrame, keys: Sequence[str], places: int | None = 4,
     """Turn ``rating_sum``/``n`` rows into ``avg_rating``/``n``.
 
     ``rollup=True`` first re-aggregates the partial rows to ``keys``.
-    ``places`` rounds half-even (D5); ``as_float`` casts to float32 (Lab 1 output type).
+    ``places`` rounds half-even (D5); ``as_float`` casts to float32 (the summary output type).
     """
     if rollup:
         sums = sums.groupBy(*keys).agg(F.sum("rating_sum").alias("rating_sum"), F.sum("n").alias("n"))

@@ -21,7 +21,7 @@ def document_frequency(tf: DataFrame, term: str = "word") -> DataFrame:
 
     Derived from the TF rows, which are already one per (group, term): the
     raw tokens are not shuffled a second time. A NULL group counts as a group
-    here, as in the reference.
+    here, while N counts only non-NULL groups.
     """
     return tf.groupBy(term).agg(F.count(F.lit(1)).alias("df"))
 

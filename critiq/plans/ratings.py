@@ -24,7 +24,7 @@ from critiq.operators.stats import (
     rating_stats, rating_sums, widen_categories,
 )
 
-# Placeholders of the reference outputs.
+# Placeholders used in the outputs.
 UNKNOWN_TITLE = "Unknown"
 UNKNOWN_GROUP = "Unknown"
 UNKNOWN_OCCUPATION = "unknown"
@@ -40,14 +40,14 @@ def _titles(movies: DataFrame) -> DataFrame:
 
 
 def movie_rating_summary(ratings: DataFrame, movies: DataFrame) -> DataFrame:
-    """L1B1: movie_id, title, avg_rating (float32, unrounded), n — every rated movie."""
+    """Per-movie summary: movie_id, title, avg_rating (float32, unrounded), n — every rated movie."""
     stats = rating_stats(ratings, ["movie_id"], places=None, as_float=True)
     return lookup(stats, _titles(movies), "movie_id", "default", {"title": UNKNOWN_TITLE}) \
         .select("movie_id", "title", "avg_rating", "n")
 
 
 def movie_rating_ranked(ratings: DataFrame, movies: DataFrame, min_count: int = 5) -> DataFrame:
-    """L3B1: rank, movie_id, title, avg_rating (4 dp), n for movies with n >= min_count.
+    """Ranked movies: rank, movie_id, title, avg_rating (4 dp), n for movies with n >= min_count.
 
     Ranked on the rounded average (D7), ties by movie_id (D6).
     """
@@ -58,7 +58,7 @@ def movie_rating_ranked(ratings: DataFrame, movies: DataFrame, min_count: int =
 
 
 def best_movie(ratings: DataFrame, movies: DataFrame, min_count: int = 5) -> DataFrame:
-    """L1B1/L3B1 best movie: one row (NULLs when no movie has ``min_count`` ratings)."""
+    """Best movie: one row (NULLs when no movie has ``min_count`` ratings)."""
     stats = rating_stats(ratings, ["movie_id"], places=4)
     best = best_with_support(stats, "movie_id", min_count)
     return lookup_few(best, _titles(movies), "movie_id", {"title": UNKNOWN_TITLE}) \
@@ -67,7 +67,8 @@ def best_movie(ratings: DataFrame, movies: DataFrame, min_count: int = 5) -> Dat
 
 def genre_rating(ratings: DataFrame, movies: DataFrame, places: int | None = 4,
                  as_float: bool = False, ranked: bool = True) -> DataFrame:
-    """L3B2 (ranked, 4 dp) / L1B2 (``places=None, as_float=True, ranked=False``).
+    """Per-genre ratings: ranked with 4 dp (default), or the plain float32 summary
+    (``places=None, as_float=True, ranked=False``).
 
     A rating counts once in each genre of its movie; ratings of movies
     missing from ``movies`` are dropped (J2). Ratings are summed per movie
@@ -83,7 +84,7 @@ def genre_rating(ratings: DataFrame, movies: DataFrame, places: int | None = 4,
 
 
 def movie_gender_wide(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
-    """L1B3: movie_id, title, male, female (float32 averages, NULL = N/A).
+    """Per-movie gender breakdown, wide: movie_id, title, male, female (float32 averages, NULL = N/A).
 
     Ratings of unknown users are dropped first (D4); other genders are
     ignored but their movie stays (D3).
@@ -97,7 +98,7 @@ def movie_gender_wide(ratings: DataFrame, users: DataFrame, movies: DataFrame) -
 
 
 def movie_age_wide(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
-    """L1B4: movie_id, title and one float32 average per inclusive age group (NULL = NA)."""
+    """Per-movie age breakdown, wide: movie_id, title and one float32 average per inclusive age group (NULL = NA)."""
     rated = lookup(ratings.select("user_id", "movie_id", "rating"), users.select("user_id", "age"),
                    "user_id", "drop")
     grouped = rated.withColumn("age_group", age_group_inclusive("age"))
@@ -115,7 +116,7 @@ def _long_output(long: DataFrame, movies: DataFrame, category: str) -> DataFrame
 
 
 def movie_gender_long(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
-    """L3B3: every rated movie x (F, M): avg_rating (4 dp, NULL when n = 0), avg_text, n.
+    """Per-movie gender breakdown, long: every rated movie x (F, M): avg_rating (4 dp, NULL when n = 0), avg_text, n.
 
     ``category_order`` is the position in the fixed list (O3): a report is
     ``orderBy("movie_id", "category_order")``.
@@ -130,7 +131,7 @@ def movie_gender_long(ratings: DataFrame, users: DataFrame, movies: DataFrame) -
 
 
 def movie_age_long(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
-    """L3B4: every rated movie x 6 half-open age groups, as in :func:`movie_gender_long`."""
+    """Per-movie age breakdown, long: every rated movie x 6 half-open age groups, as in :func:`movie_gender_long`."""
     rated = lookup(ratings.select("user_id", "movie_id", "rating"), users.select("user_id", "age"),
                    "user_id", "default")
     rated = rated.withColumn("age_group", F.coalesce(age_group_half_open("age"), F.lit(UNKNOWN_GROUP)))
@@ -140,7 +141,7 @@ def movie_age_long(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> D
 
 
 def occupation_rating(ratings: DataFrame, users: DataFrame, occupation: DataFrame) -> DataFrame:
-    """L3B5: rank, occupation, avg_rating, n. Unknown user or occupation id -> ``unknown``.
+    """Ranked occupations: rank, occupation, avg_rating, n. Unknown user or occupation id -> ``unknown``.
 
     Ratings are summed per user before the two lookups, so the joins see one
     row per user instead of one per rating. Occupations without ratings are
@@ -155,7 +156,7 @@ def occupation_rating(ratings: DataFrame, users: DataFrame, occupation: DataFram
 
 
 def yearly_rating(ratings: DataFrame, tz: str = "UTC") -> DataFrame:
-    """L3B6: year, avg_rating (4 dp), n; ascending by year.
+    """Ratings per year: year, avg_rating (4 dp), n; ascending by year.
 
     ``ts`` may be epoch seconds (text inputs) or a timestamp; epoch values
     are read in ``tz`` (D8).

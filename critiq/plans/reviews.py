@@ -1,8 +1,8 @@
 """Review-text analyses over ``reviews(id, review, topic, aspect, sentiment)``.
 
 ``tokens`` is the output of :func:`critiq.operators.review_tokens`; callers
-build it once and may persist or write it (the reference stores it as an
-intermediate, S5/K2) before running several analyses on it.
+build it once and may persist or write it as an intermediate (S5/K2) before
+running several analyses on it.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from critiq.operators.tfidf import group_count, term_frequency, tfidf
 
 
 def word_freq_over(tokens: DataFrame, threshold: int = 500) -> DataFrame:
-    """L2B2: word, freq for words seen more than ``threshold`` times; most frequent first."""
+    """Word frequencies: word, freq for words seen more than ``threshold`` times; most frequent first."""
     freq = tokens.groupBy("word").agg(F.count("word").alias("freq")).where(F.col("freq") > threshold)
     return sort_desc_tiebreak(freq, "freq", "word")
 
@@ -27,37 +27,37 @@ def _count_by(reviews: DataFrame, col: str) -> DataFrame:
 
 
 def topic_counts(reviews: DataFrame) -> DataFrame:
-    """L2B2: topic, n_reviews; largest first."""
+    """Reviews per topic: topic, n_reviews; largest first."""
     return _count_by(reviews, "topic")
 
 
 def aspect_counts(reviews: DataFrame) -> DataFrame:
-    """L2B2: aspect, n_reviews; largest first."""
+    """Reviews per aspect: aspect, n_reviews; largest first."""
     return _count_by(reviews, "aspect")
 
 
 def top_aspect(reviews: DataFrame, sentiment: str) -> DataFrame:
-    """L2B3: the aspect(s) with the most reviews of ``sentiment``; all ties kept."""
+    """Top aspect: the aspect(s) with the most reviews of ``sentiment``; all ties kept."""
     picked = reviews.where(F.col("sentiment") == sentiment)
     counts = picked.groupBy("aspect").agg(F.count("id").alias("n_reviews"))
     return argmax_with_ties(counts, "n_reviews")
 
 
 def topic_top_words(tokens: DataFrame, sentiment: str, k: int = 5) -> DataFrame:
-    """L2B4: topic, word, freq — the ``k`` most frequent words per topic for one sentiment."""
+    """Top words per topic: topic, word, freq — the ``k`` most frequent words per topic for one sentiment."""
     picked = tokens.where(F.col("sentiment") == sentiment)
     tf = term_frequency(picked).withColumnRenamed("tf", "freq")
     return top_k_per_group(tf, ["topic"], [F.col("freq").desc(), F.col("word").asc()], k)
 
 
 def tfidf_scores(tokens: DataFrame) -> DataFrame:
-    """L2B5 body: topic, word, tf, df, score = tf * ln(N / df) (6 dp) for every pair."""
+    """TF-IDF of every pair: topic, word, tf, df, score = tf * ln(N / df) (6 dp) for every pair."""
     tf = term_frequency(tokens)
     n_topics = group_count(tf)
     return tfidf(tf, n_topics).select("topic", "word", "tf", "df", "score")
 
 
 def topic_top_tfidf(tokens: DataFrame, k: int = 5) -> DataFrame:
-    """L2B5: topic, word, score — the ``k`` best-scoring words per topic (ties by word)."""
+    """Top TF-IDF words per topic: topic, word, score — the ``k`` best-scoring words per topic (ties by word)."""
     scores = tfidf_scores(tokens).select("topic", "word", "score")
     return top_k_per_group(scores, ["topic"], [F.col("score").desc(), F.col("word").asc()], k)

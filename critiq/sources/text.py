@@ -1,6 +1,6 @@
 """Delimited-text ingestion.
 
-All readers take an explicit schema and never infer one. The reference's
+All readers take an explicit schema and never infer one. The
 inputs are UTF-8 text without header or quoting, so quoting is switched off
 (``quote=""``) and fields are whitespace-trimmed, which covers both the
 ``", "`` and the ``","`` separated variants.

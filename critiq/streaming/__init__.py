@@ -1,6 +1,6 @@
 """Incremental ingestion of the text inputs.
 
-The reference is batch only (no watermark, window or stateful operator), so
+The analyses are batch only (no watermark, window or stateful operator), so
 no streaming operator is built. What this package adds is the streaming
 form of the same readers: new rating or review files landing in a folder
 are read with the batch schema and options, and the batch aggregates apply
