@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -60,3 +61,45 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="critiq-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
+
+
+_MIB = 1024 * 1024
+
+
+def scale_conf(shuffle_bytes: int, cores: int, partition_bytes: int = 256 * _MIB,
+               max_partitions: int = 100_000) -> dict[str, str]:
+    """SQL settings for a run whose largest shuffle moves about ``shuffle_bytes``.
+
+    * shuffle partitions: about ``partition_bytes`` each (so a task's sort
+      and aggregation buffers fit in executor memory without heavy spill),
+      at least two per core, at most ``max_partitions`` (map-status and
+      scheduling cost on the driver). AQE then merges small partitions of
+      the lighter shuffles (most shuffles here follow a map-side partial
+      aggregation and are far smaller than the largest one).
+    * skewed join partitions (a key holding a large share of the rows) are
+      split by AQE once they exceed five times the median and 512 MiB.
+    * scan splits of 512 MiB keep the task count of a 100 TB scan manageable.
+    * the broadcast threshold is raised to 64 MiB: Spark's size check still
+      decides, so a dimension that grows past it falls back to a sort-merge join.
+    """
+    partitions = math.ceil(shuffle_bytes / partition_bytes)
+    partitions = max(2 * cores, min(max_partitions, partitions))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * _MIB),
+        "spark.sql.files.maxPartitionBytes": str(512 * _MIB),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * _MIB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * _MIB),
+        "spark.sql.exchange.reuse": "true",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set runtime SQL settings on an existing session."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)

@@ -10,4 +10,5 @@ from critiq.sources.text import (  # noqa: F401
     read_tokens,
     read_wordlist,
     union_inputs,
+    with_line_order,
 )

@@ -44,28 +44,46 @@ def read_ratings(spark: SparkSession, paths: str | Iterable[str], sep: str = ","
 
 
 def read_dimension(spark: SparkSession, paths: str | Iterable[str], schema: T.StructType,
-                   sep: str = ",", mode: str = "PERMISSIVE") -> DataFrame:
-    """Comma-delimited dimension (users, occupation), whitespace tolerant."""
-    return _csv(spark, schema, sep, mode).csv(_paths(paths))
+                   sep: str = ",", mode: str = "PERMISSIVE", line_order: bool = False) -> DataFrame:
+    """Comma-delimited dimension (users, occupation), whitespace tolerant.
+
+    ``line_order`` adds ``line_no`` (see :func:`with_line_order`) for a
+    last-line-wins de-duplication of repeated keys.
+    """
+    df = _csv(spark, schema, sep, mode).csv(_paths(paths))
+    return with_line_order(df) if line_order else df
 
 
-# Fixed value: movie line layout "id,title,genres" where the title may itself
-# hold commas; the id is the first field and the genre list the last one.
-_MOVIE_LINE = r"^\s*([^,]*?)\s*,\s*(.*?)\s*,\s*([^,]*?)\s*$"
+def with_line_order(df: DataFrame, name: str = "line_no") -> DataFrame:
+    """Add a column that increases with the position of each line in the input.
+
+    Within a file, ids follow the line order; across files, they follow the
+    order of the scan's splits. ``dedupe_dimension(dim, key, "line_no")`` then
+    keeps the last line of each key, as a hash map filled line by line does (J9).
+    """
+    return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def read_movies(spark: SparkSession, paths: str | Iterable[str], strict: bool = False) -> DataFrame:
-    """S2 for movies: first field = id, last field = genres, the rest = title.
+def read_movies(spark: SparkSession, paths: str | Iterable[str], strict: bool = False,
+                line_order: bool = False) -> DataFrame:
+    """S2 for movies: first field = id, last field = genres, everything between = title.
 
-    A plain split on ``,`` would cut titles that hold commas (D14). Lines
-    that do not have three fields give NULLs and are dropped.
+    A plain split on ``,`` would cut titles that hold commas (D14), so the
+    fields in between are joined back. Lines with fewer than three fields are
+    dropped; a non-numeric id is NULL and dropped (or fails with ``strict``).
     """
     lines = spark.read.text(_paths(paths))
-    fields = [F.regexp_extract("value", _MOVIE_LINE, i) for i in (1, 2, 3)]
-    ok = F.col("value").rlike(_MOVIE_LINE)
-    movie_id = fields[0].cast("long") if strict else fields[0].try_cast("long")
-    return (lines.where(ok)
-            .select(movie_id.alias("movie_id"), fields[1].alias("title"), fields[2].alias("genres"))
+    if line_order:
+        lines = with_line_order(lines)
+    parts = F.split(F.col("value"), ",")
+    n = F.size(parts)
+    raw_id = F.trim(F.get(parts, 0))
+    movie_id = raw_id.cast("long") if strict else raw_id.try_cast("long")
+    title = F.trim(F.array_join(F.slice(parts, F.lit(2), n - 2), ","))
+    genres = F.trim(F.element_at(parts, -1))
+    extra = ["line_no"] if line_order else []
+    return (lines.where(n >= 3)
+            .select(movie_id.alias("movie_id"), title.alias("title"), genres.alias("genres"), *extra)
             .where(F.col("movie_id").isNotNull()))
 
 

@@ -97,3 +97,15 @@ def test_write_lines_and_render_tsv(spark, scratch):
     out = os.path.join(scratch, "lines")
     write_lines(render_tsv(df), out)
     assert sorted(r.value for r in spark.read.text(out).collect()) == ["a\t", "b\tc"]
+
+
+def test_duplicate_dimension_key_last_line_wins(spark, scratch):
+    from critiq.operators import dedupe_dimension
+
+    p = _write(os.path.join(scratch, "dup.txt"), ["1,Old Title,Drama", "2,Other,Comedy", "1,New Title,Drama|War"])
+    movies = dedupe_dimension(read_movies(spark, p, line_order=True), "movie_id", "line_no")
+    got = {r.movie_id: (r.title, r.genres) for r in movies.collect()}
+    assert got == {1: ("New Title", "Drama|War"), 2: ("Other", "Comedy")}
+    users = dedupe_dimension(read_dimension(spark, _write(os.path.join(scratch, "u.txt"), ["7,M,30,1,x", "7,F,31,2,y"]),
+                                            schemas.USERS, line_order=True), "user_id", "line_no")
+    assert [(r.user_id, r.gender) for r in users.collect()] == [(7, "F")]
