@@ -12,11 +12,20 @@ from critiq.session import ensure_checkpoint_dir
 _POS_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
+def _cores(spark) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext handle (e.g. Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rank",
                       partitions: int | None = None) -> DataFrame:
     """Number the rows 1..n along a total ``order``, without a single-partition window.
 
-    1. range-partition on ``order`` and sort each partition (one shuffle);
+    1. range-partition on ``order`` into one partition per core (the sort's
+       parallelism; an explicit count, so AQE keeps the partitions as they
+       are) and sort each partition (one shuffle);
     2. number rows inside each partition (``monotonically_increasing_id``);
     3. count rows per partition, prefix-sum those few counts, broadcast them
        (one row per partition: bounded by the partition count) and add.
@@ -28,7 +37,7 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rank"
     must be total (end it with a unique key) for a deterministic result.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or _cores(spark)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
         ensure_checkpoint_dir(spark)

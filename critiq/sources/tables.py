@@ -30,9 +30,13 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     deterministic when a task is retried.
     """
     spark = df.sparkSession
-    if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+    try:
+        splits, cores = df.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism
+    except Exception:  # no RDD view of the plan (e.g. a Spark Connect session): leave as is
         return df
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+    if splits >= cores:
+        return df
+    return df.repartition(cores, *keys)
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
