@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,24 +32,19 @@ def group_cardinality(tf: DataFrame, group: str = "topic") -> DataFrame:
 
 
 def with_document_frequency(tf: DataFrame, term: str = "word") -> DataFrame:
-    """Every TF row with its term's df, i.e. TF joined on ``term`` with :func:`document_frequency`.
+    """Every TF row with its term's df — TF joined on ``term`` with :func:`document_frequency`.
 
-    Written as a count over a window partitioned by the term: one shuffle of
-    the TF rows by term serves both the DF aggregate and the join, and a
-    term has at most one TF row per group, so no window partition is hot.
+    DF is aggregated map-side, so a term found in most groups is reduced to
+    one row per map partition before its shuffle; the join then lets AQE
+    split a hot term's TF partition (skew join) instead of one task holding
+    all its rows.
     """
-    return tf.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy(term)))
+    return tf.join(document_frequency(tf, term), term, "inner")
 
 
 def group_count(tf: DataFrame, group: str = "topic") -> Column:
-    """N as a scalar Column: the number of distinct non-NULL groups in the TF rows.
-
-    The filter on ``tf`` (always >= 1) keeps the count column in the
-    subquery's plan, so the subquery's TF aggregate is the same plan as the
-    main query's and Spark reuses that shuffle instead of reading and
-    tokenising the text a second time.
-    """
-    return group_cardinality(tf.where(F.col("tf") > 0), group).scalar()
+    """N as a scalar Column: the number of distinct non-NULL groups in the TF rows."""
+    return group_cardinality(tf, group).scalar()
 
 
 def tfidf(tf: DataFrame, n_groups: Column, term: str = "word", places: int | None = 6) -> DataFrame:

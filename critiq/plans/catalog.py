@@ -25,6 +25,7 @@ from critiq.operators import (
     term_frequency,
 )
 from critiq.plans.oracle import with_tables
+from critiq.session import materialize
 from critiq.sinks.text import render_delimited, render_key_value, render_report_lines, render_tsv
 from critiq.sources import tables
 from critiq.sources.text import filter_required_fields, parse_delimited, union_inputs
@@ -238,7 +239,7 @@ register("distinct_pairs", with_tables("tokens") + "SELECT DISTINCT word, topic
 
 
 def _cross_scalar(spark, d):
-    tf = term_frequency(_tokens(spark, d))
+    tf = materialize(term_frequency(_tokens(spark, d)))
     return tf.withColumn("n_groups", group_count(tf))
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from critiq.session import materialize
 from critiq.operators.ranking import argmax_with_ties, sort_desc_tiebreak, top_k_per_group
 from critiq.operators.tfidf import group_count, term_frequency, tfidf
 
@@ -51,8 +52,15 @@ def topic_top_words(tokens: DataFrame, sentiment: str, k: int = 5) -> DataFrame:
 
 
 def tfidf_scores(tokens: DataFrame) -> DataFrame:
-    """TF-IDF of every pair: topic, word, tf, df, score = tf * ln(N / df) (6 dp) for every pair."""
-    tf = term_frequency(tokens)
+    """TF-IDF of every pair: topic, word, tf, df, score = tf * ln(N / df) (6 dp) for every pair.
+
+    TF feeds three branches (the scores, DF and the group count N, a scalar
+    subquery). It is checkpointed once to the cluster's checkpoint folder,
+    so the text is read and tokenised exactly once; without that, the
+    subquery would re-run the tokenisation whenever Spark does not happen
+    to reuse the main query's shuffle.
+    """
+    tf = materialize(term_frequency(tokens))
     n_topics = group_count(tf)
     return tfidf(tf, n_topics).select("topic", "word", "tf", "df", "score")
 

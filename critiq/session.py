@@ -63,6 +63,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def materialize(df):
+    """Write ``df`` once to the checkpoint folder and return a frame that reads it.
+
+    For a result that several branches of one query consume (e.g. TF for the
+    scores, DF and the group count): they then read the same files instead
+    of each re-running the plan below, and the lineage is cut, so a lost
+    executor does not send the recomputation back to the raw input.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 _MIB = 1024 * 1024
 
 

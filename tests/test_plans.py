@@ -59,8 +59,14 @@ def test_occupation_joins_see_per_user_rows(spark):
     assert "HashAggregate(keys=[user_id" in plan[first_join:]
 
 
-@pytest.mark.parametrize("name", ["topic_top_tfidf", "cross_scalar", "top_negative_aspect", "best_movie"])
-def test_scalar_subqueries_reuse_the_main_shuffle(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+@pytest.mark.parametrize("name", ["topic_top_tfidf", "cross_scalar", "tfidf_scores"])
+def test_tf_is_materialized_once(spark, name):
+    # TF feeds the scores, DF and the N subquery; all read the checkpointed TF, not the text
+    plan = explain_text(E.queries()[name](spark, SF_SMALL), "simple")
+    assert "documents.parquet" not in plan
+
+
+def test_best_movie_reuses_the_aggregate(spark):
+    df = E.queries()["best_movie"](spark, SF_SMALL)
     df.collect()
     assert "ReusedExchange" in explain_text(df, "simple")
