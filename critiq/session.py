@@ -50,7 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is an error, because a machine-local folder would not survive the loss
     of the executor that wrote it.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext handle (Spark Connect): the server's setting applies
+        return spark.conf.get(CHECKPOINT_CONF, None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
