@@ -29,10 +29,13 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str =
         return fact.join(dim, keys, "inner")
     if how != "default":
         raise ValueError(f"unknown lookup policy {how!r}")
-    joined = fact.join(dim, keys, "left")
-    for col, value in (defaults or {}).items():
-        joined = joined.withColumn(col, F.coalesce(F.col(col), F.lit(value)))
-    return joined
+    if not defaults:
+        return fact.join(dim, keys, "left")
+    # the default replaces values of unmatched rows only; a matched NULL stays NULL
+    joined = fact.join(dim.withColumn("_matched", F.lit(True)), keys, "left")
+    for col, value in defaults.items():
+        joined = joined.withColumn(col, F.when(F.col("_matched").isNull(), F.lit(value)).otherwise(F.col(col)))
+    return joined.drop("_matched")
 
 
 def dedupe_dimension(dim: DataFrame, key: str | Sequence[str], order_col: str) -> DataFrame:
@@ -54,8 +57,9 @@ def snowflake_lookup(fact: DataFrame, first: DataFrame, first_key: str, second:
     A miss at either level collapses to ``default``; the intermediate key is dropped.
     """
     step = fact.join(first.select(first_key, second_key), first_key, "left")
-    step = step.join(second.select(second_key, value_col), second_key, "left")
-    return step.drop(second_key).withColumn(value_col, F.coalesce(F.col(value_col), F.lit(default)))
+    step = step.join(second.select(second_key, value_col).withColumn("_matched", F.lit(True)), second_key, "left")
+    value = F.when(F.col("_matched").isNull(), F.lit(default)).otherwise(F.col(value_col))
+    return step.drop(second_key).withColumn(value_col, value).drop("_matched")
 
 
 def lookup_few(few: DataFrame, dim: DataFrame, key: str, defaults: Mapping[str, object] | None = None) -> DataFrame:
@@ -67,7 +71,8 @@ def lookup_few(few: DataFrame, dim: DataFrame, key: str, defaults: Mapping[str,
     whose key is NULL keep NULL columns (no default).
     """
     needed = dim.join(F.broadcast(few.select(key).where(F.col(key).isNotNull()).distinct()), key, "left_semi")
-    joined = few.join(needed, key, "left")
+    joined = few.join(needed.withColumn("_matched", F.lit(True)), key, "left")
     for col, value in (defaults or {}).items():
-        joined = joined.withColumn(col, F.when(F.col(key).isNotNull(), F.coalesce(F.col(col), F.lit(value))))
-    return joined
+        filled = F.when(F.col("_matched").isNull(), F.lit(value)).otherwise(F.col(col))
+        joined = joined.withColumn(col, F.when(F.col(key).isNotNull(), filled))
+    return joined.drop("_matched")

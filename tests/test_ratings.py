@@ -165,3 +165,10 @@ def test_snowflake_lookup(spark):
     occ = spark.createDataFrame([(10, "Doctor")], "occ int, name string")
     got = sorted(tuple(x) for x in snowflake_lookup(fact, users, "u", occ, "occ", "name", "unknown").collect())
     assert got == [(1, 5.0, "Doctor"), (2, 4.0, "unknown"), (3, 3.0, "unknown")]
+
+
+def test_default_applies_to_unmatched_keys_only(spark):
+    fact = spark.createDataFrame([(1,), (2,)], "k long")
+    dim = spark.createDataFrame([(1, None)], "k long, v string")
+    got = sorted(tuple(r) for r in lookup(fact, dim, "k", "default", {"v": "Unknown"}).collect())
+    assert got == [(1, None), (2, "Unknown")]
