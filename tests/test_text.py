@@ -131,3 +131,16 @@ def test_one_pass_tokenizer_equals_clean_then_split(spark):
     two = {r.i: r.a for r in df.select("i", split_tokens(normalize_text("t")).alias("a")).collect()}
     one = {r.i: r.a for r in df.select("i", tokenize("t").alias("a")).collect()}
     assert two == one
+
+
+def test_fast_cleaning_equals_the_negated_class(spark):
+    import random
+
+    from critiq.functions.text import KEEP_CLASS
+
+    alphabet = list("abXYZ éÀỹỺ×÷ωЖ\t\n\x0b\f\r\"(),*.;0129'") + ["\u0085", " ", " ", "😀", "𝔸"]
+    rnd = random.Random(11)
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 30))) for _ in range(300)] + [None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    slow = F.regexp_replace(F.lower("t"), KEEP_CLASS, " ")
+    assert df.where(~normalize_text("t").eqNullSafe(slow)).count() == 0
