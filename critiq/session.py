@@ -32,6 +32,7 @@ def build_session(master: str | None = None, partitions: int | None = None,
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": driver_memory,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for k, v in conf.items():
         builder = builder.config(k, v)
