@@ -389,9 +389,14 @@ FROM movie_stats s LEFT JOIN movies m ON s.movie_id = m.movie_id
            "movie_id", "default", {"title": "Unknown"}),
     ["title", "movie_id", "avg_rating", "n"], "::", keep=["movie_id"]))
 
+def _pad(fn: str, expr: str, width: int) -> str:
+    """Non-truncating SQL padding (like the Spark side): at least ``width`` characters."""
+    return f"{fn}({expr}, CAST(greatest(length({expr}), {width}) AS INTEGER), ' ')"
+
+
 register("render_report_lines", with_tables("movie_stats", "movies") + f"""
-SELECT rank, rpad(CAST(rank AS VARCHAR), 5, ' ') || ' ' || rpad(title, CAST(greatest(length(title), 50) AS INTEGER), ' ')
-       || ' ' || lpad(printf('%.4f', avg_rating), 7, ' ') || ' ' || lpad(CAST(n AS VARCHAR), 7, ' ') AS line
+SELECT rank, {_pad("rpad", "CAST(rank AS VARCHAR)", 5)} || ' ' || {_pad("rpad", "title", 50)}
+       || ' ' || {_pad("lpad", "printf('%.4f', avg_rating)", 7)} || ' ' || {_pad("lpad", "CAST(n AS VARCHAR)", 7)} AS line
 FROM (SELECT row_number() OVER (ORDER BY s.avg_rating DESC, s.movie_id) AS rank,
              coalesce(m.title, 'Unknown') AS title, s.avg_rating, s.n
       FROM movie_stats s LEFT JOIN movies m ON s.movie_id = m.movie_id WHERE s.n >= {MIN_COUNT}) x
