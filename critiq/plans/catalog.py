@@ -26,7 +26,7 @@ from critiq.operators import (
 )
 from critiq.plans.oracle import with_tables
 from critiq.session import materialize
-from critiq.sinks.text import render_delimited, render_key_value, render_report_lines, render_tsv
+from critiq.sinks.text import render_best_line, render_delimited, render_key_value, render_report_lines, render_tsv
 from critiq.sources import tables
 from critiq.sources.text import filter_required_fields, parse_delimited, union_inputs
 
@@ -473,6 +473,17 @@ FROM long
     ["movie_id", "title", "gender", with_placeholder("avg_rating", "NaN"), "n"], ",", keep=["movie_id", "gender"]))
 
 
+register("render_best_movie", with_tables("movie_stats", "movies") + f"""
+SELECT CASE WHEN b.movie_id IS NULL THEN 'No movies exist' || chr(9) || 'No movie with highest ratings'
+            ELSE coalesce(m.title, 'Unknown') || chr(9) || 'is the highest rated movie with an average rating of '
+                 || CAST(b.avg_rating AS VARCHAR) || ' among movies with at least {MIN_COUNT} ratings.' END AS line
+FROM (SELECT 1 AS one) o
+LEFT JOIN (SELECT * FROM movie_stats WHERE n >= {MIN_COUNT} ORDER BY avg_rating DESC, movie_id LIMIT 1) b ON TRUE
+LEFT JOIN movies m ON b.movie_id = m.movie_id
+""")(lambda spark, d: render_best_line(
+    plans.best_movie(tables.ratings(spark, d), tables.movies(spark, d), MIN_COUNT), MIN_COUNT))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

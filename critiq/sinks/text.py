@@ -49,6 +49,21 @@ def render_report_lines(df: DataFrame, fields: Sequence[tuple[Column | str, int,
     return df.select(*keep, F.concat_ws(sep, *cells).alias("line"))
 
 
+# Texts of the best-movie line and of its fallback when no movie qualifies.
+BEST_LINE = "is the highest rated movie with an average rating of {avg} among movies with at least {k} ratings."
+NO_BEST_KEY = "No movies exist"
+NO_BEST_VALUE = "No movie with highest ratings"
+
+
+def render_best_line(best: DataFrame, min_count: int, keep: Sequence[str] = ()) -> DataFrame:
+    """K1 for the one-row result of ``best_movie``: ``title<TAB>sentence``, or the fallback line."""
+    before, after = BEST_LINE.split("{avg}")
+    after = after.replace("{k}", str(min_count))
+    found = F.concat_ws("\t", F.col("title"), F.concat(F.lit(before), F.col("avg_rating").cast("string"), F.lit(after)))
+    line = F.when(F.col("movie_id").isNotNull(), found).otherwise(F.lit(NO_BEST_KEY + "\t" + NO_BEST_VALUE))
+    return best.select(*keep, line.alias("line"))
+
+
 def write_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a one-column ``line`` frame as text files (one per partition)."""
     lines.select("line").write.mode(mode).text(path)

@@ -35,3 +35,15 @@ def test_delimited_and_csv_roundtrip(spark, scratch):
     write_csv(df, out)
     back = spark.read.schema(df.schema).option("quote", '"').option("escape", '"').csv(out)
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in df.collect())
+
+
+def test_best_line_and_fallback(spark):
+    from critiq import plans
+    from critiq.sinks import render_best_line
+
+    r = spark.createDataFrame([(1, 10, 4.5, 0), (2, 10, 3.0, 0)], "user_id long, movie_id long, rating double, ts long")
+    m = spark.createDataFrame([(10, "Ten", "Drama")], "movie_id long, title string, genres string")
+    line = render_best_line(plans.best_movie(r, m, 2), 2).collect()[0].line
+    assert line == "Ten\tis the highest rated movie with an average rating of 3.75 among movies with at least 2 ratings."
+    none = render_best_line(plans.best_movie(r, m, 5), 5).collect()[0].line
+    assert none == "No movies exist\tNo movie with highest ratings"

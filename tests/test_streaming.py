@@ -2,6 +2,8 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 from critiq.operators import rating_stats
 from critiq.sources import read_ratings
 from critiq.streaming import read_ratings_stream, running_rating_stats
@@ -23,3 +25,17 @@ def test_stream_equals_batch(spark, scratch):
     batch = rating_stats(read_ratings(spark, inbox), ["movie_id"])
     assert streamed == sorted(tuple(r) for r in batch.collect())
     assert streamed == [(10, 4.5, 2), (20, 2.5, 2), (30, 3.5, 1)]
+
+
+def test_review_stream_counts(spark, scratch):
+    from critiq.streaming import read_reviews_stream
+
+    inbox = os.path.join(scratch, "rev")
+    os.makedirs(inbox)
+    with open(os.path.join(inbox, "a.csv"), "w") as f:
+        f.write("1;good room;ROOMS;QUALITY;positive\n2;bad price;PRICES;VALUE;negative\n;no id;ROOMS;QUALITY;\n")
+    counts = read_reviews_stream(spark, inbox).groupBy("topic").agg(F.count("id").alias("n_reviews"))
+    q = (counts.writeStream.outputMode("complete").format("memory").queryName("topic_stream")
+         .option("checkpointLocation", os.path.join(scratch, "ck2")).trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    assert sorted(tuple(r) for r in spark.sql("SELECT * FROM topic_stream").collect()) == [("PRICES", 1), ("ROOMS", 1)]
