@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from critiq.functions.buckets import (
-    AGE_LABELS_INCLUSIVE, age_group_half_open, age_group_inclusive, AGE_LABELS_HALF_OPEN,
+    AGE_LABELS_HALF_OPEN, AGE_LABELS_INCLUSIVE, age_group_half_open, age_group_inclusive,
 )
 from critiq.functions.format import fixed
 from critiq.functions.numeric import year_of

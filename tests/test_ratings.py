@@ -3,7 +3,6 @@
 from collections import defaultdict
 
 import pytest
-from pyspark.sql import functions as F
 
 from critiq import plans
 from critiq.functions import age_group_half_open, age_group_inclusive, epoch_year, round_half_even
