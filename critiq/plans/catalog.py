@@ -473,6 +473,14 @@ FROM long
     ["movie_id", "title", "gender", with_placeholder("avg_rating", "NaN"), "n"], ",", keep=["movie_id", "gender"]))
 
 
+register("render_genre_summary", with_tables("ratings", "movies") + """
+SELECT genre, genre || chr(9) || 'Avg: ' || CAST(avg_rating AS VARCHAR) || ', Count: ' || CAST(n AS VARCHAR) AS line
+FROM (""" + _GENRE_STATS.format(avg="CAST(avg(g.rating) AS FLOAT)") + ") s")(
+    lambda spark, d: render_key_value(
+        plans.genre_rating(tables.ratings(spark, d), tables.movies(spark, d), places=None, as_float=True, ranked=False),
+        "genre", F.concat(F.lit("Avg: "), F.col("avg_rating").cast("string"), F.lit(", Count: "),
+                          F.col("n").cast("string")), keep=["genre"]))
+
 register("render_best_movie", with_tables("movie_stats", "movies") + f"""
 SELECT CASE WHEN b.movie_id IS NULL THEN 'No movies exist' || chr(9) || 'No movie with highest ratings'
             ELSE coalesce(m.title, 'Unknown') || chr(9) || 'is the highest rated movie with an average rating of '

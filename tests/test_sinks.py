@@ -47,3 +47,14 @@ def test_best_line_and_fallback(spark):
     assert line == "Ten\tis the highest rated movie with an average rating of 3.75 among movies with at least 2 ratings."
     none = render_best_line(plans.best_movie(r, m, 5), 5).collect()[0].line
     assert none == "No movies exist\tNo movie with highest ratings"
+
+
+def test_float32_summary_text(spark):
+    from critiq import plans
+
+    r = spark.createDataFrame([(u, 1, x, 0) for u, x in enumerate([4.0, 4.0, 4.5, 4.5, 4.0, 4.0])],
+                              "user_id long, movie_id long, rating double, ts long")
+    m = spark.createDataFrame([(1, "One", "Animation")], "movie_id long, title string, genres string")
+    g = plans.genre_rating(r, m, places=None, as_float=True, ranked=False)
+    value = F.concat(F.lit("Avg: "), F.col("avg_rating").cast("string"), F.lit(", Count: "), F.col("n").cast("string"))
+    assert render_key_value(g, "genre", value).collect()[0].line == "Animation\tAvg: 4.1666665, Count: 6"
