@@ -51,3 +51,12 @@ def test_checkpoint_path_without_exchange_reuse(spark):
 def test_sort_desc_tiebreak_nulls_last(spark):
     df = spark.createDataFrame([(1, None), (2, 5), (3, 5), (0, 7)], "k long, m long")
     assert [r.k for r in sort_desc_tiebreak(df, "m", "k").collect()] == [0, 2, 3, 1]
+
+
+def test_ranks_without_adaptive_execution(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rnd = random.Random(9)
+        _check(spark, [(k, float(rnd.randint(0, 9))) for k in range(400)], 8)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
