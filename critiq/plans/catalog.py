@@ -276,6 +276,8 @@ register("tokens_roundtrip", with_tables("tokens") + "SELECT word, topic, aspect
 
 # --------------------------------------------------------------------------- per-operator keys
 
+# S1 unions two rating inputs. On the test data the two "files" are the two line-status halves of
+# one table, so that table is scanned once per half; separate input files are each read once.
 register("scan_union_inputs", """
 SELECT o.o_custkey AS user_id, l.l_partkey AS movie_id, l.l_quantity AS rating, l.l_shipdate AS ts
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_linestatus = 'F'
