@@ -1,6 +1,6 @@
 """DataFrame operators (DataFrame -> DataFrame), composed by ``critiq.plans``."""
 
-from critiq.operators.lookup import dedupe_dimension, lookup, lookup_few, snowflake_lookup  # noqa: F401
+from critiq.operators.lookup import broadcast_checked, dedupe_dimension, lookup, lookup_few, snowflake_lookup  # noqa: F401
 from critiq.operators.stats import (  # noqa: F401
     best_with_support, category_sums, densify_categories, explode_list, finish_stats,
     rating_stats, rating_sums, widen_categories,

@@ -15,6 +15,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def broadcast_checked(df: DataFrame, max_rows: int) -> DataFrame:
+    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows; else leave it as is.
+
+    The check reads at most ``max_rows + 1`` rows (``limit`` stops early), so
+    a side that turns out large is not scanned in full here; it is then
+    joined the other way (sort-merge, with AQE splitting skewed partitions).
+    """
+    small = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if small else df
+
+
 def lookup(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str = "default",
            defaults: Mapping[str, object] | None = None) -> DataFrame:
     """Attach the non-key columns of ``dim`` to ``fact``.

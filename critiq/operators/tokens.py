@@ -8,17 +8,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from critiq.functions.text import tokenize
+from critiq.operators.lookup import broadcast_checked
 
 
-def remove_stopwords(tokens: DataFrame, stopwords: DataFrame, col: str = "word") -> DataFrame:
+# A word list up to this many entries is broadcast to the token scan.
+MAX_BROADCAST_WORDS = 1_000_000
+
+
+def remove_stopwords(tokens: DataFrame, stopwords: DataFrame, col: str = "word",
+                     max_broadcast_words: int = MAX_BROADCAST_WORDS) -> DataFrame:
     """Drop tokens found in the word list (left anti join).
 
     NULL tokens survive, as with an outer join + IS NULL filter. Repeated or
-    multi-word list entries are harmless (D11, D12). The list is not hinted:
-    Spark broadcasts it when its size check allows, which a word list meets.
+    multi-word list entries are harmless (D11, D12). The list is broadcast
+    after a row-count check, so the tokens are never shuffled by word (a
+    frequent word would load one task); a list beyond the bound is joined by
+    a sort-merge anti join instead.
     """
     words = stopwords.select(F.col(stopwords.columns[0]).alias(col))
-    return tokens.join(words, col, "left_anti")
+    return tokens.join(broadcast_checked(words, max_broadcast_words), col, "left_anti")
 
 
 def review_tokens(reviews: DataFrame, stopwords: DataFrame, text: str = "review",

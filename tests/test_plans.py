@@ -70,3 +70,21 @@ def test_best_movie_reuses_the_aggregate(spark):
     df = E.queries()["best_movie"](spark, SF_SMALL)
     df.collect()
     assert "ReusedExchange" in explain_text(df, "simple")
+
+
+def test_word_list_broadcast_is_size_checked(spark):
+    from pyspark.sql import functions as F
+
+    from critiq.operators import remove_stopwords
+
+    tokens = spark.createDataFrame([("a",), ("b",), ("c",)], "word string")
+    small = spark.createDataFrame([("a",)], "word string")
+    big = spark.range(0, 50).select(F.col("id").cast("string").alias("word"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in explain_text(remove_stopwords(tokens, small, max_broadcast_words=10), "simple")
+        over = remove_stopwords(tokens, big, max_broadcast_words=10)
+        assert "SortMergeJoin" in explain_text(over, "simple")
+        assert sorted(r.word for r in over.collect()) == ["a", "b", "c"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
