@@ -107,12 +107,12 @@ LEFT JOIN movies m ON s.movie_id = m.movie_id
 """)(lambda spark, d: plans.movie_gender_wide(tables.ratings(spark, d), tables.users(spark, d),
                                               tables.movies(spark, d)))
 
-_P6 = ("CASE WHEN u.age <= 18 THEN '0-18' WHEN u.age <= 35 THEN '18-35' "
+_P6 = ("CASE WHEN u.age IS NULL THEN NULL WHEN u.age <= 18 THEN '0-18' WHEN u.age <= 35 THEN '18-35' "
        "WHEN u.age <= 50 THEN '35-50' ELSE '50+' END")
 
 
 def _p7(age: str) -> str:
-    return (f"CASE WHEN {age} < 18 THEN '1. Under 18' WHEN {age} < 25 THEN '2. 18-24' "
+    return (f"CASE WHEN {age} IS NULL THEN NULL WHEN {age} < 18 THEN '1. Under 18' WHEN {age} < 25 THEN '2. 18-24' "
             f"WHEN {age} < 35 THEN '3. 25-34' WHEN {age} < 45 THEN '4. 35-44' "
             f"WHEN {age} < 55 THEN '5. 45-54' ELSE '6. 55+' END")
 
