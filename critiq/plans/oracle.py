@@ -24,8 +24,9 @@ CTE = {
   SELECT n_nationkey AS occupation_id, n_name AS name FROM nation WHERE n_regionkey <> 0)""",
     "reviews": """reviews AS (
   SELECT d.doc_id AS id, d.text AS review, d.lang AS topic, d.source AS aspect,
-         CASE l.quality WHEN 1 THEN 'positive' WHEN 0 THEN 'negative' END AS sentiment
-  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)""",
+         CASE (SELECT max(l.quality) FROM labels l WHERE l.doc_id = d.doc_id)
+              WHEN 1 THEN 'positive' WHEN 0 THEN 'negative' END AS sentiment
+  FROM documents d)""",
     "stopwords": "stopwords AS (SELECT * FROM (VALUES "
                  + ", ".join("('" + w.replace("'", "''") + "')" for w in STOPWORDS)
                  + ") AS t(word))",

@@ -98,15 +98,22 @@ def occupation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """id, review, topic (language), aspect (source), sentiment (from the quality label or NULL)."""
-    d = spread(_read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
-    lab = _read(spark, sf_dir, "labels").select("doc_id", "quality")
-    sentiment = (F.when(F.col("quality") == 1, "positive")
-                 .when(F.col("quality") == 0, "negative"))
-    return (d.join(lab, "doc_id", "left")
-            .select(F.col("doc_id").alias("id"), F.col("text").alias("review"),
-                    F.col("lang").alias("topic"), F.col("source").alias("aspect"),
-                    sentiment.alias("sentiment")))
+    """id, review, topic (language), aspect (source), sentiment (from the quality label or NULL).
+
+    The label is a correlated scalar subquery (one sentiment per review, the
+    largest quality if a document had several labels). A query that does not
+    use ``sentiment`` prunes the subquery, so neither the labels nor a join
+    appear in its plan: word counts and TF-IDF never shuffle the text by
+    document id just to attach a column they drop. Where ``sentiment`` is
+    used, Spark plans a join with the labels aggregated per document.
+    """
+    docs = spread(_read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id").alias("d")
+    labels = _read(spark, sf_dir, "labels").alias("l")
+    quality = labels.where(F.col("l.doc_id") == F.col("d.doc_id").outer()).select(F.max("l.quality")).scalar()
+    sentiment = F.when(quality == 1, "positive").when(quality == 0, "negative")
+    return docs.select(F.col("doc_id").alias("id"), F.col("text").alias("review"),
+                       F.col("lang").alias("topic"), F.col("source").alias("aspect"),
+                       sentiment.alias("sentiment"))
 
 
 # The stop-word list used on the test data. It holds repeats
