@@ -279,11 +279,13 @@ register("tokens_roundtrip", with_tables("tokens") + "SELECT word, topic, aspect
 # S1 unions two rating inputs. On the test data the two "files" are the two line-status halves of
 # one table, so that table is scanned once per half; separate input files are each read once.
 register("scan_union_inputs", """
-SELECT o.o_custkey AS user_id, l.l_partkey AS movie_id, l.l_quantity AS rating, l.l_shipdate AS ts
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_linestatus = 'F'
+SELECT (SELECT max(o.o_custkey) FROM orders o WHERE o.o_orderkey = l.l_orderkey) AS user_id,
+       l.l_partkey AS movie_id, l.l_quantity AS rating, l.l_shipdate AS ts
+FROM lineitem l WHERE l.l_linestatus = 'F'
 UNION ALL
-SELECT o.o_custkey, l.l_partkey, l.l_quantity, l.l_shipdate
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_linestatus <> 'F'
+SELECT (SELECT max(o.o_custkey) FROM orders o WHERE o.o_orderkey = l.l_orderkey),
+       l.l_partkey, l.l_quantity, l.l_shipdate
+FROM lineitem l WHERE l.l_linestatus <> 'F'
 """)(lambda spark, d: union_inputs(*tables.rating_parts(spark, d)))
 
 _LINE_SCHEMA = T.StructType([T.StructField("order_key", T.LongType()), T.StructField("part_key", T.LongType()),

@@ -10,8 +10,9 @@ from critiq.sources.tables import STOPWORDS
 
 CTE = {
     "ratings": """ratings AS (
-  SELECT o.o_custkey AS user_id, l.l_partkey AS movie_id, l.l_quantity AS rating, l.l_shipdate AS ts
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)""",
+  SELECT (SELECT max(o.o_custkey) FROM orders o WHERE o.o_orderkey = l.l_orderkey) AS user_id,
+         l.l_partkey AS movie_id, l.l_quantity AS rating, l.l_shipdate AS ts
+  FROM lineitem l)""",
     "movies": """movies AS (
   SELECT p_partkey AS movie_id, p_name AS title, replace(p_name, ' ', '|') || '|' || p_type AS genres
   FROM part)""",

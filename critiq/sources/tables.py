@@ -39,31 +39,43 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
+def _customer_of_order(sf_dir: str, spark: SparkSession, line_alias: str):
+    """The ordering customer of a line item, as a correlated scalar subquery.
+
+    Each line item belongs to one order (a foreign key), so this equals the
+    inner join with orders. Written as a subquery, a query that never uses
+    ``user_id`` prunes it, and the orders table, from its plan: the
+    per-movie analyses then read only the line items, with no shuffle of
+    the largest table by order key. Where ``user_id`` is used, Spark plans
+    the join with orders itself.
+    """
+    orders = _read(spark, sf_dir, "orders").alias("o")
+    return (orders.where(F.col("o.o_orderkey") == F.col(f"{line_alias}.l_orderkey").outer())
+            .select(F.max("o.o_custkey")).scalar())
+
+
+def _ratings_from(li: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = li.alias("li")
+    return li.select(_customer_of_order(sf_dir, spark, "li").alias("user_id"),
+                     F.col("l_partkey").alias("movie_id"),
+                     F.col("l_quantity").alias("rating"),
+                     F.col("l_shipdate").alias("ts"))
+
+
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """user_id, movie_id, rating, ts: one row per line item, keyed by the order's customer."""
+    """user_id, movie_id, rating, ts: one row per line item, by the customer of its order."""
     li = spread(_read(spark, sf_dir, "lineitem")
                 .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate"),
                 "l_orderkey", "l_linenumber")
-    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return (li.join(orders, li.l_orderkey == orders.o_orderkey)
-            .select(F.col("o_custkey").alias("user_id"),
-                    F.col("l_partkey").alias("movie_id"),
-                    F.col("l_quantity").alias("rating"),
-                    F.col("l_shipdate").alias("ts")))
+    return _ratings_from(li, spark, sf_dir)
 
 
 def rating_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The two rating "files" of S1: line status ``F`` and the rest."""
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity",
                                                  "l_shipdate", "l_linestatus")
-    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-
-    def part(cond):
-        return (li.where(cond).join(orders, li.l_orderkey == orders.o_orderkey)
-                .select(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("movie_id"),
-                        F.col("l_quantity").alias("rating"), F.col("l_shipdate").alias("ts")))
-
-    return part(F.col("l_linestatus") == "F"), part(F.col("l_linestatus") != "F")
+    return (_ratings_from(li.where(F.col("l_linestatus") == "F"), spark, sf_dir),
+            _ratings_from(li.where(F.col("l_linestatus") != "F"), spark, sf_dir))
 
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
