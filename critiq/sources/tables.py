@@ -46,12 +46,13 @@ def _customer_of_order(sf_dir: str, spark: SparkSession, line_alias: str):
     inner join with orders. Written as a subquery, a query that never uses
     ``user_id`` prunes it, and the orders table, from its plan: the
     per-movie analyses then read only the line items, with no shuffle of
-    the largest table by order key. Where ``user_id`` is used, Spark plans
-    the join with orders itself.
+    the largest table by order key. Where ``user_id`` is used, Spark plans a
+    "single" join (a lookup that fails if an order key matched twice) with
+    no aggregation of the orders.
     """
     orders = _read(spark, sf_dir, "orders").alias("o")
     return (orders.where(F.col("o.o_orderkey") == F.col(f"{line_alias}.l_orderkey").outer())
-            .select(F.max("o.o_custkey")).scalar())
+            .select("o.o_custkey").scalar())
 
 
 def _ratings_from(li: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,16 +113,17 @@ def occupation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, review, topic (language), aspect (source), sentiment (from the quality label or NULL).
 
-    The label is a correlated scalar subquery (one sentiment per review, the
-    largest quality if a document had several labels). A query that does not
-    use ``sentiment`` prunes the subquery, so neither the labels nor a join
-    appear in its plan: word counts and TF-IDF never shuffle the text by
-    document id just to attach a column they drop. Where ``sentiment`` is
-    used, Spark plans a join with the labels aggregated per document.
+    The label is a correlated scalar subquery: labels are keyed by document,
+    one sentiment per review (a duplicate label fails the query rather than
+    being resolved silently). A query that does not use ``sentiment`` prunes
+    the subquery, so neither the labels nor a join appear in its plan: word
+    counts and TF-IDF never shuffle the text by document id just to attach a
+    column they drop. Where ``sentiment`` is used, Spark plans a "single"
+    join with the labels.
     """
     docs = spread(_read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id").alias("d")
     labels = _read(spark, sf_dir, "labels").alias("l")
-    quality = labels.where(F.col("l.doc_id") == F.col("d.doc_id").outer()).select(F.max("l.quality")).scalar()
+    quality = labels.where(F.col("l.doc_id") == F.col("d.doc_id").outer()).select("l.quality").scalar()
     sentiment = F.when(quality == 1, "positive").when(quality == 0, "negative")
     return docs.select(F.col("doc_id").alias("id"), F.col("text").alias("review"),
                        F.col("lang").alias("topic"), F.col("source").alias("aspect"),
