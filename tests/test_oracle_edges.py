@@ -67,3 +67,17 @@ def test_query_matches_oracle_on_edges(spark, edge_dir, edge_duck, name):
     stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
     assert stypes == dict(zip(ocols, [str(t) for t in res.types]))
     assert _bag(rows, df.columns) == _bag(orows, ocols)
+
+
+def test_duplicate_label_is_an_error_not_a_silent_pick(spark, tmp_path):
+    from critiq.sources import tables
+
+    con = duckdb.connect()
+    con.sql(f"COPY (SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')) TO '{tmp_path}/documents.parquet'")
+    con.sql(f"""COPY (SELECT * FROM read_parquet('{SF_SMALL}/labels.parquet')
+                    UNION ALL SELECT * FROM read_parquet('{SF_SMALL}/labels.parquet'))
+                TO '{tmp_path}/labels.parquet'""")
+    reviews = tables.reviews(spark, str(tmp_path))
+    assert reviews.select("id", "topic").count() > 0            # sentiment unused: labels not read
+    with pytest.raises(Exception):
+        reviews.select("id", "sentiment").collect()
