@@ -3,7 +3,10 @@
 The analyses speak of ``ratings``, ``movies``, ``users``, ``occupation``,
 ``reviews`` and ``stopwords``. On the test data they are projections of the
 TPC-H-like tables; every column is pruned at the scan so only the fields used
-are read. ``oracle.py`` defines the same tables in SQL.
+are read. Attributes that live in another table (a rating's user, a review's
+sentiment) are correlated scalar subqueries, so a query that does not use
+them reads neither that table nor joins it. ``oracle.py`` defines the same
+tables in SQL.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
-def _customer_of_order(sf_dir: str, spark: SparkSession, line_alias: str):
+def _customer_of_order(spark: SparkSession, sf_dir: str, line_alias: str):
     """The ordering customer of a line item, as a correlated scalar subquery.
 
     Each line item belongs to one order (a foreign key), so this equals the
@@ -55,9 +58,9 @@ def _customer_of_order(sf_dir: str, spark: SparkSession, line_alias: str):
             .select("o.o_custkey").scalar())
 
 
-def _ratings_from(li: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+def _ratings_from(spark: SparkSession, sf_dir: str, li: DataFrame) -> DataFrame:
     li = li.alias("li")
-    return li.select(_customer_of_order(sf_dir, spark, "li").alias("user_id"),
+    return li.select(_customer_of_order(spark, sf_dir, "li").alias("user_id"),
                      F.col("l_partkey").alias("movie_id"),
                      F.col("l_quantity").alias("rating"),
                      F.col("l_shipdate").alias("ts"))
@@ -68,15 +71,15 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = spread(_read(spark, sf_dir, "lineitem")
                 .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate"),
                 "l_orderkey", "l_linenumber")
-    return _ratings_from(li, spark, sf_dir)
+    return _ratings_from(spark, sf_dir, li)
 
 
 def rating_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The two rating "files" of S1: line status ``F`` and the rest."""
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity",
                                                  "l_shipdate", "l_linestatus")
-    return (_ratings_from(li.where(F.col("l_linestatus") == "F"), spark, sf_dir),
-            _ratings_from(li.where(F.col("l_linestatus") != "F"), spark, sf_dir))
+    return (_ratings_from(spark, sf_dir, li.where(F.col("l_linestatus") == "F")),
+            _ratings_from(spark, sf_dir, li.where(F.col("l_linestatus") != "F")))
 
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
