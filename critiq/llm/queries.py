@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from critiq.llm import secret_scan, shards
+from critiq.llm import bpe, packing, secret_scan, shards
+
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def _tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,9 +32,21 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids and decoded text of every document by the tokenization automaton."""
+    return bpe.encode_documents(_table(spark, sf_dir, "documents"), _tokenizer_path())
+
+
+def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents tokenised, cut and packed into sequences of at most 2048 tokens."""
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jump_shards": op3_jump_shards,
     "op4_secret_scan": op4_secret_scan,
+    "op8_bpe_automaton": op8_bpe_automaton,
+    "op10_best_two_fit": op10_best_two_fit,
 }
 
 ORACLE_SQL: dict[str, str] = {}
