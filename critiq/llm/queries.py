@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from critiq.llm import bpe, packing, secret_scan, shards
+from critiq.llm import bpe, fingerprints, packing, secret_scan, shards
 
 
 TOKENIZER = "word_bpe_49k.json"
@@ -22,6 +22,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MinHash fingerprint of every document and of its edited text."""
+    return fingerprints.fingerprint_edits(_table(spark, sf_dir, "documents"))
+
+
 def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 16 shards by jump consistent hashing of doc_id."""
     return shards.shard_documents(_table(spark, sf_dir, "documents"), 16)
@@ -43,6 +48,7 @@ def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_fingerprints": op1_minhash_fingerprints,
     "op3_jump_shards": op3_jump_shards,
     "op4_secret_scan": op4_secret_scan,
     "op8_bpe_automaton": op8_bpe_automaton,
