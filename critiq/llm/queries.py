@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from critiq.llm import bpe, fingerprints, packing, secret_scan, shards
+from critiq.llm import bpe, fingerprints, packing, pivot_topk, quality, secret_scan, shards
 
 
 TOKENIZER = "word_bpe_49k.json"
@@ -27,6 +27,11 @@ def op1_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(_table(spark, sf_dir, "documents"))
 
 
+def op2_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by an additive model with pairwise interactions."""
+    return quality.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 16 shards by jump consistent hashing of doc_id."""
     return shards.shard_documents(_table(spark, sf_dir, "documents"), 16)
@@ -37,6 +42,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_documents(_table(spark, sf_dir, "documents"))
 
 
+def op7_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best inner products for every vector whose id is divisible by 50, against all others."""
+    return pivot_topk.top_k(_table(spark, sf_dir, "embeddings"), 5, 50)
+
+
 def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids and decoded text of every document by the tokenization automaton."""
     return bpe.encode_documents(_table(spark, sf_dir, "documents"), _tokenizer_path())
@@ -49,10 +59,26 @@ def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_fingerprints": op1_minhash_fingerprints,
+    "op2_quality_gam": op2_quality_gam,
     "op3_jump_shards": op3_jump_shards,
     "op4_secret_scan": op4_secret_scan,
+    "op7_pivot_topk": op7_pivot_topk,
     "op8_bpe_automaton": op8_bpe_automaton,
     "op10_best_two_fit": op10_best_two_fit,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_pivot_topk": """
+    WITH usable AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+        FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+    ranked AS (
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+               vec_id, score FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+}
