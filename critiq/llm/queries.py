@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from critiq.llm import bpe, chosen_path, fingerprints, packing, pivot_topk, quality, secret_scan, shards
+from critiq.llm import bpe, chosen_path, fingerprints, packing, pivot_topk, quality, secret_scan, shards, suffix_dedup
 
 
 TOKENIZER = "word_bpe_49k.json"
@@ -42,6 +42,12 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_documents(_table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that a 50-byte string of a smaller document covers."""
+    found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("kept", "kept_sha256")
+
+
 def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: two-word shingles, similarity of 0.8 or more."""
     return chosen_path.near_groups(_table(spark, sf_dir, "documents"), size=2, like=80)
@@ -67,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_gam": op2_quality_gam,
     "op3_jump_shards": op3_jump_shards,
     "op4_secret_scan": op4_secret_scan,
+    "op5_suffix_repeats": op5_suffix_repeats,
     "op6_chosen_path": op6_chosen_path,
     "op7_pivot_topk": op7_pivot_topk,
     "op8_bpe_automaton": op8_bpe_automaton,
