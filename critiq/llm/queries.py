@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from critiq.llm import bpe, chosen_path, fingerprints, packing, pivot_topk, quality, secret_scan, shards, suffix_dedup
+from critiq.llm import bpe, chosen_path, fingerprints, line_dedup, packing, pivot_topk, quality, secret_scan, shards, suffix_dedup
 
 
 TOKENIZER = "word_bpe_49k.json"
@@ -63,6 +63,11 @@ def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(_table(spark, sf_dir, "documents"), _tokenizer_path())
 
 
+def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents that repeat an earlier line, exactly or nearly."""
+    return line_dedup.dedup_report(_table(spark, sf_dir, "documents"))
+
+
 def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents tokenised, cut and packed into sequences of at most 2048 tokens."""
     return packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer_path())
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_chosen_path": op6_chosen_path,
     "op7_pivot_topk": op7_pivot_topk,
     "op8_bpe_automaton": op8_bpe_automaton,
+    "op9_fuzzy_lines": op9_fuzzy_lines,
     "op10_best_two_fit": op10_best_two_fit,
 }
 
