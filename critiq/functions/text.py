@@ -49,6 +49,15 @@ def tokenize(col: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(TOKEN_RUN), 0)
 
 
+# The blanks that Java's and Python's line readers strip from a field.
+BLANKS = " \t\n\r\f\x0b"
+
+
+def strip(col: Column) -> Column:
+    """``col`` without leading and trailing blanks of any kind (not only spaces)."""
+    return F.btrim(col, F.lit(BLANKS))
+
+
 def regex_literal(text: str) -> str:
     """A Java regex matching ``text`` literally (for ``split`` on a separator)."""
     return re.escape(text)

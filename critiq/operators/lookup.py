@@ -11,28 +11,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def broadcast_checked(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows; else leave it as is.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops early), so
-    a side that turns out large is not scanned in full here; it is then
-    joined the other way (sort-merge, with AQE splitting skewed partitions).
-    """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
-
 def lookup(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str = "default",
            defaults: Mapping[str, object] | None = None) -> DataFrame:
     """Attach the non-key columns of ``dim`` to ``fact``.
 
     ``how="drop"``    – inner join: facts without a dimension row disappear (J2).
-    ``how="default"`` – left join: unmatched facts keep ``defaults[col]`` (J1/J3),
-                        or NULL for columns without a default.
+    ``how="default"`` – left join: facts without a value keep ``defaults[col]`` (J1/J3),
+                        whether the row or only its value is missing; columns
+                        without a default stay NULL.
     ``dim`` must be unique on ``key`` (see :func:`dedupe_dimension`).
     """
     keys = [key] if isinstance(key, str) else list(key)
@@ -40,25 +30,24 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str =
         return fact.join(dim, keys, "inner")
     if how != "default":
         raise ValueError(f"unknown lookup policy {how!r}")
-    if not defaults:
-        return fact.join(dim, keys, "left")
-    # the default replaces values of unmatched rows only; a matched NULL stays NULL
-    joined = fact.join(dim.withColumn("_matched", F.lit(True)), keys, "left")
-    for col, value in defaults.items():
-        joined = joined.withColumn(col, F.when(F.col("_matched").isNull(), F.lit(value)).otherwise(F.col(col)))
-    return joined.drop("_matched")
+    joined = fact.join(dim, keys, "left")
+    for col, value in (defaults or {}).items():
+        joined = joined.withColumn(col, F.coalesce(F.col(col), F.lit(value)))
+    return joined
 
 
 def dedupe_dimension(dim: DataFrame, key: str | Sequence[str], order_col: str) -> DataFrame:
     """Keep one row per key, the one with the largest ``order_col`` ("last line wins").
 
-    Written as a grouped ``max_by`` so it aggregates map-side: a key that holds
-    a large share of the rows is reduced before the shuffle.
+    Rows that tie on ``order_col`` are decided by their remaining columns
+    (largest first). ``row_number() = 1`` plans a partial group limit: a key
+    that holds a large share of the rows is cut to one row per partition
+    before the shuffle.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in dim.columns if c not in keys]
-    best = F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("_row")
-    return dim.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    rest = [c for c in dim.columns if c not in (*keys, order_col)]
+    last = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in [order_col, *rest]])
+    return dim.withColumn("_rn", F.row_number().over(last)).where("_rn = 1").drop("_rn")
 
 
 def snowflake_lookup(fact: DataFrame, first: DataFrame, first_key: str, second: DataFrame,
@@ -68,22 +57,20 @@ def snowflake_lookup(fact: DataFrame, first: DataFrame, first_key: str, second:
     A miss at either level collapses to ``default``; the intermediate key is dropped.
     """
     step = fact.join(first.select(first_key, second_key), first_key, "left")
-    step = step.join(second.select(second_key, value_col).withColumn("_matched", F.lit(True)), second_key, "left")
-    value = F.when(F.col("_matched").isNull(), F.lit(default)).otherwise(F.col(value_col))
-    return step.drop(second_key).withColumn(value_col, value).drop("_matched")
+    step = step.join(second.select(second_key, value_col), second_key, "left")
+    return step.drop(second_key).withColumn(value_col, F.coalesce(F.col(value_col), F.lit(default)))
 
 
 def lookup_few(few: DataFrame, dim: DataFrame, key: str, defaults: Mapping[str, object] | None = None) -> DataFrame:
-    """J1 for a frame whose row count is bounded by construction (one best row, top-k rows).
+    """J1 for a frame of a few rows (the one row of a global aggregate, top-k rows).
 
-    The dimension is first cut to the needed keys with a broadcast of the
-    few keys (size bound: the rows of ``few``), so a large dimension is read
-    once and never shuffled to look up a handful of rows. Rows of ``few``
-    whose key is NULL keep NULL columns (no default).
+    The dimension is first cut to the needed keys by a semi join, whose
+    small side Spark broadcasts after its own size check, so a large
+    dimension is read once and not shuffled to look up a handful of rows.
+    Rows of ``few`` whose key is NULL keep NULL columns (no default).
     """
-    needed = dim.join(F.broadcast(few.select(key).where(F.col(key).isNotNull()).distinct()), key, "left_semi")
-    joined = few.join(needed.withColumn("_matched", F.lit(True)), key, "left")
+    needed = dim.join(few.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_semi")
+    joined = few.join(needed, key, "left")
     for col, value in (defaults or {}).items():
-        filled = F.when(F.col("_matched").isNull(), F.lit(value)).otherwise(F.col(col))
-        joined = joined.withColumn(col, F.when(F.col(key).isNotNull(), filled))
-    return joined.drop("_matched")
+        joined = joined.withColumn(col, F.when(F.col(key).isNotNull(), F.coalesce(F.col(col), F.lit(value))))
+    return joined

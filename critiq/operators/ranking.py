@@ -7,41 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from critiq.session import ensure_checkpoint_dir
+from critiq.session import materialize
 
 _POS_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
-def _cores(spark) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext handle (e.g. Spark Connect)
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rank",
                       partitions: int | None = None) -> DataFrame:
     """Number the rows 1..n along a total ``order``, without a single-partition window.
 
-    1. range-partition on ``order`` into one partition per core (the sort's
-       parallelism; an explicit count, so AQE keeps the partitions as they
-       are) and sort each partition (one shuffle);
+    1. range-partition on ``order`` and sort each partition (one shuffle;
+       ``partitions`` is by default ``spark.sql.shuffle.partitions``), and
+       write that frame once to the checkpoint folder: positions and counts
+       must come from one and the same partitioning, and a second run of
+       the range shuffle would sample other bounds;
     2. number rows inside each partition (``monotonically_increasing_id``);
     3. count rows per partition, prefix-sum those few counts, broadcast them
        (one row per partition: bounded by the partition count) and add.
 
-    Both uses of the range-partitioned rows sit in one plan, so Spark runs
-    the range shuffle once and reuses it (``spark.sql.exchange.reuse``);
-    when reuse is switched off the sorted rows are checkpointed instead, so
-    counts and positions always come from the same partitioning. ``order``
-    must be total (end it with a unique key) for a deterministic result.
+    ``order`` must be total (end it with a unique key) for a deterministic result.
     """
-    spark = df.sparkSession
-    n = partitions or _cores(spark)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        ensure_checkpoint_dir(spark)
-        ranged = ranged.checkpoint(eager=True)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
     rid = F.monotonically_increasing_id()
     numbered = (ranged.withColumn("_rid", rid)
                 .withColumn("_part", F.shiftright(F.col("_rid"), _POS_BITS))
@@ -72,12 +59,13 @@ def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
 
 
 def argmax_with_ties(df: DataFrame, measure: str) -> DataFrame:
-    """Every row whose ``measure`` equals the global maximum (ties kept).
+    """Every row whose non-NULL ``measure`` equals the global maximum (ties kept).
 
-    The maximum is a scalar subquery (one value), not a join or cross product.
+    ``rank() = 1`` plans a partial group limit, so each partition passes on
+    only its own top ties and one lazy pass suffices.
     """
-    top = df.select(F.max(measure)).scalar()
-    return df.where(F.col(measure) == top)
+    top = F.rank().over(Window.orderBy(F.col(measure).desc_nulls_last()))
+    return df.withColumn("_rank", top).where((F.col("_rank") == 1) & F.col(measure).isNotNull()).drop("_rank")
 
 
 def sort_desc_tiebreak(df: DataFrame, measure: str, key: str | Sequence[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from critiq.functions.numeric import round_half_even
-from critiq.functions.text import regex_literal
+from critiq.functions.text import regex_literal, strip
 
 
 def _avg(total: Column, n: Column) -> Column:
@@ -51,7 +51,7 @@ def rating_stats(ratings: DataFrame, keys: Sequence[str], places: int | None = 4
 
 def explode_list(df: DataFrame, list_col: str, item_col: str, sep: str = "|") -> DataFrame:
     """one row per trimmed item of a ``sep`` separated list column."""
-    items = F.transform(F.split(F.col(list_col), regex_literal(sep)), F.trim)
+    items = F.transform(F.split(F.col(list_col), regex_literal(sep)), strip)
     return df.withColumn(item_col, F.explode(items)).drop(list_col)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from critiq import plans
+from critiq import plans, schemas
 from critiq.functions.buckets import age_group_half_open, age_group_inclusive
 from critiq.functions.format import fixed, with_placeholder
 from critiq.functions.numeric import round_half_even
@@ -26,9 +26,14 @@ from critiq.operators import (
 )
 from critiq.plans.oracle import with_tables
 from critiq.session import materialize
-from critiq.sinks.text import render_best_line, render_delimited, render_key_value, render_report_lines, render_tsv
+from critiq.sinks.text import (
+    render_best_block, render_best_line, render_delimited, render_key_value, render_report_lines, render_tsv,
+)
 from critiq.sources import tables
-from critiq.sources.text import filter_required_fields, parse_delimited, union_inputs
+from critiq.sources.text import (
+    REVIEW_OPTIONS, TOKEN_OPTIONS, csv_options, filter_required_fields, parse_delimited, parse_lines, parse_movies,
+    parse_ratings, parse_words, union_inputs,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,10 +41,9 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 # Parameters of the registered queries (fixed, survey §7.2b).
-MIN_COUNT = 40          # ratings per movie at sf0.01 range over 14..49
+MIN_COUNT = 5           # the programs' own threshold
 WORD_THRESHOLD = 500
 TOP_K = 5
-REPORT_TOP = 100
 
 
 def register(name: str, sql: str | None):
@@ -51,8 +55,12 @@ def register(name: str, sql: str | None):
     return deco
 
 
-def _tokens(spark, d):
-    return review_tokens(tables.reviews(spark, d), tables.stopwords(spark))
+def _tokens(spark, d, sentiment=False):
+    return review_tokens(tables.reviews(spark, d, sentiment), tables.stopwords(spark))
+
+
+def _user_ratings(spark, d):
+    return tables.ratings(spark, d, user=True)
 
 
 # --------------------------------------------------------------------------- ratings
@@ -97,14 +105,14 @@ register("genre_rating_summary", with_tables("ratings", "movies")
     lambda spark, d: plans.genre_rating(tables.ratings(spark, d), tables.movies(spark, d),
                                         places=None, as_float=True, ranked=False))
 
-register("movie_gender_wide", with_tables("ratings", "users", "movies") + """
+register("movie_gender_wide", with_tables("user_ratings", "users", "movies") + """
 SELECT s.movie_id, coalesce(m.title, 'Unknown') AS title, s.male, s.female
 FROM (SELECT r.movie_id,
              CAST(avg(CASE WHEN u.gender = 'M' THEN r.rating END) AS FLOAT) AS male,
              CAST(avg(CASE WHEN u.gender = 'F' THEN r.rating END) AS FLOAT) AS female
       FROM ratings r JOIN users u ON r.user_id = u.user_id GROUP BY r.movie_id) s
 LEFT JOIN movies m ON s.movie_id = m.movie_id
-""")(lambda spark, d: plans.movie_gender_wide(tables.ratings(spark, d), tables.users(spark, d),
+""")(lambda spark, d: plans.movie_gender_wide(_user_ratings(spark, d), tables.users(spark, d),
                                               tables.movies(spark, d)))
 
 _P6 = ("CASE WHEN u.age IS NULL THEN NULL WHEN u.age <= 18 THEN '0-18' WHEN u.age <= 35 THEN '18-35' "
@@ -116,7 +124,7 @@ def _p7(age: str) -> str:
             f"WHEN {age} < 35 THEN '3. 25-34' WHEN {age} < 45 THEN '4. 35-44' "
             f"WHEN {age} < 55 THEN '5. 45-54' ELSE '6. 55+' END")
 
-register("movie_age_wide", with_tables("ratings", "users", "movies") + f"""
+register("movie_age_wide", with_tables("user_ratings", "users", "movies") + f"""
 SELECT s.movie_id, coalesce(m.title, 'Unknown') AS title, s.avg_0_18, s.avg_18_35, s.avg_35_50, s.avg_50_plus
 FROM (SELECT movie_id,
              CAST(avg(CASE WHEN grp = '0-18' THEN rating END) AS FLOAT) AS avg_0_18,
@@ -126,13 +134,13 @@ FROM (SELECT movie_id,
       FROM (SELECT r.movie_id, r.rating, {_P6} AS grp FROM ratings r JOIN users u ON r.user_id = u.user_id) x
       GROUP BY movie_id) s
 LEFT JOIN movies m ON s.movie_id = m.movie_id
-""")(lambda spark, d: plans.movie_age_wide(tables.ratings(spark, d), tables.users(spark, d),
+""")(lambda spark, d: plans.movie_age_wide(_user_ratings(spark, d), tables.users(spark, d),
                                            tables.movies(spark, d)))
 
 
 def _long_sql(category: str, grp_expr: str, values: list[str]) -> str:
     vals = ", ".join(f"('{v}', {i + 1})" for i, v in enumerate(values))
-    return with_tables("ratings", "users", "movies") + f"""
+    return with_tables("user_ratings", "users", "movies") + f"""
 , r AS (SELECT r.movie_id, r.rating, coalesce({grp_expr}, 'Unknown') AS {category}
         FROM ratings r LEFT JOIN users u ON r.user_id = u.user_id),
 s AS (SELECT movie_id, {category}, round_even(avg(rating), 4) AS avg_rating, count(rating) AS n
@@ -149,22 +157,22 @@ LEFT JOIN movies m ON m.movie_id = mv.movie_id
 
 
 register("movie_gender_long", _long_sql("gender", "u.gender", ["F", "M"]))(
-    lambda spark, d: plans.movie_gender_long(tables.ratings(spark, d), tables.users(spark, d),
+    lambda spark, d: plans.movie_gender_long(_user_ratings(spark, d), tables.users(spark, d),
                                              tables.movies(spark, d)))
 
 register("movie_age_long", _long_sql("age_group", _p7("u.age"),
                                      ["1. Under 18", "2. 18-24", "3. 25-34", "4. 35-44", "5. 45-54", "6. 55+"]))(
-    lambda spark, d: plans.movie_age_long(tables.ratings(spark, d), tables.users(spark, d),
+    lambda spark, d: plans.movie_age_long(_user_ratings(spark, d), tables.users(spark, d),
                                           tables.movies(spark, d)))
 
-register("occupation_rating", with_tables("ratings", "users", "occupation") + """
+register("occupation_rating", with_tables("user_ratings", "users", "occupation") + """
 SELECT row_number() OVER (ORDER BY avg_rating DESC, occupation) AS rank, occupation, avg_rating, n
 FROM (SELECT coalesce(o.name, 'unknown') AS occupation, round_even(avg(r.rating), 4) AS avg_rating,
              count(r.rating) AS n
       FROM ratings r LEFT JOIN users u ON r.user_id = u.user_id
       LEFT JOIN occupation o ON u.occupation_id = o.occupation_id
       GROUP BY 1) s
-""")(lambda spark, d: plans.occupation_rating(tables.ratings(spark, d), tables.users(spark, d),
+""")(lambda spark, d: plans.occupation_rating(_user_ratings(spark, d), tables.users(spark, d),
                                               tables.occupation(spark, d)))
 
 register("yearly_rating", with_tables("ratings") + """
@@ -175,7 +183,7 @@ FROM ratings GROUP BY 1
 # --------------------------------------------------------------------------- reviews
 
 register("review_tokens", with_tables("tokens") + "SELECT word, topic, aspect, sentiment FROM tokens")(
-    lambda spark, d: _tokens(spark, d))
+    lambda spark, d: _tokens(spark, d, sentiment=True))
 
 register("word_freq_over", with_tables("tokens") + f"""
 SELECT word, count(word) AS freq FROM tokens GROUP BY word HAVING count(word) > {WORD_THRESHOLD}
@@ -196,9 +204,9 @@ SELECT aspect, n_reviews FROM c WHERE n_reviews = (SELECT max(n_reviews) FROM c)
 
 
 register("top_negative_aspect", _top_aspect_sql("negative"))(
-    lambda spark, d: plans.top_aspect(tables.reviews(spark, d), "negative"))
+    lambda spark, d: plans.top_aspect(tables.reviews(spark, d, sentiment=True), "negative"))
 register("top_positive_aspect", _top_aspect_sql("positive"))(
-    lambda spark, d: plans.top_aspect(tables.reviews(spark, d), "positive"))
+    lambda spark, d: plans.top_aspect(tables.reviews(spark, d, sentiment=True), "positive"))
 
 
 def _top_words_sql(sentiment: str) -> str:
@@ -212,9 +220,9 @@ WHERE rn <= {TOP_K}
 
 
 register("topic_top_words_positive", _top_words_sql("positive"))(
-    lambda spark, d: plans.topic_top_words(_tokens(spark, d), "positive", TOP_K))
+    lambda spark, d: plans.topic_top_words(_tokens(spark, d, sentiment=True), "positive", TOP_K))
 register("topic_top_words_negative", _top_words_sql("negative"))(
-    lambda spark, d: plans.topic_top_words(_tokens(spark, d), "negative", TOP_K))
+    lambda spark, d: plans.topic_top_words(_tokens(spark, d, sentiment=True), "negative", TOP_K))
 
 register("tfidf_scores", with_tables("tfidf") + "SELECT topic, word, tf, df, score FROM tfidf")(
     lambda spark, d: plans.tfidf_scores(_tokens(spark, d)))
@@ -259,16 +267,13 @@ SELECT id, regexp_replace(lower(review), '[^a-zA-ZÀ-ỹ\s]', ' ', 'g') AS clean
 
 register("filter_sentiment", with_tables("reviews") + """
 SELECT id, topic, aspect FROM reviews WHERE sentiment = 'negative'
-""")(lambda spark, d: tables.reviews(spark, d).where(F.col("sentiment") == "negative")
+""")(lambda spark, d: tables.reviews(spark, d, sentiment=True).where(F.col("sentiment") == "negative")
      .select("id", "topic", "aspect"))
 
 
 def _tokens_roundtrip(spark, d):
-    lines = render_tsv(_tokens(spark, d), ["word", "topic", "aspect", "sentiment"])
-    fields = parse_delimited("line", "\t", T.StructType([T.StructField(c, T.StringType()) for c in
-                                                         ["word", "topic", "aspect", "sentiment"]]))
-    return lines.select(*[F.nullif(f, F.lit("")).alias(n) for f, n in
-                          zip(fields, ["word", "topic", "aspect", "sentiment"])])
+    lines = render_tsv(_tokens(spark, d, sentiment=True), ["word", "topic", "aspect", "sentiment"])
+    return parse_lines(lines, schemas.TOKENS, TOKEN_OPTIONS)
 
 
 register("tokens_roundtrip", with_tables("tokens") + "SELECT word, topic, aspect, sentiment FROM tokens")(
@@ -279,15 +284,80 @@ register("tokens_roundtrip", with_tables("tokens") + "SELECT word, topic, aspect
 # S1 unions two rating inputs. On the test data the two "files" are the two line-status halves of
 # one table, so that table is scanned once per half; separate input files are each read once.
 register("scan_union_inputs", """
-SELECT (SELECT max(o.o_custkey) FROM orders o WHERE o.o_orderkey = l.l_orderkey) AS user_id,
-       l.l_partkey AS movie_id, l.l_quantity AS rating, l.l_shipdate AS ts
-FROM lineitem l WHERE l.l_linestatus = 'F'
+SELECT o.o_custkey AS user_id, l.l_partkey AS movie_id, l.l_quantity AS rating, l.l_shipdate AS ts
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE l.l_linestatus = 'F'
 UNION ALL
-SELECT (SELECT max(o.o_custkey) FROM orders o WHERE o.o_orderkey = l.l_orderkey),
-       l.l_partkey, l.l_quantity, l.l_shipdate
-FROM lineitem l WHERE l.l_linestatus <> 'F'
+SELECT o.o_custkey, l.l_partkey, l.l_quantity, l.l_shipdate
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE l.l_linestatus IS DISTINCT FROM 'F'
 """)(lambda spark, d: union_inputs(*tables.rating_parts(spark, d)))
 
+
+def _lines(spark, d, table, *fields, sep):
+    """One text line per row of ``table``; a NULL field is empty."""
+    parts = [F.coalesce(f.cast("string"), F.lit("")) for f in fields]
+    return spark.read.parquet(f"{d}/{table}.parquet").select(F.concat_ws(sep, *parts).alias("line"))
+
+
+def _rating_lines(spark, d, where="true"):
+    # the lines of every seventh order are cut short after three fields
+    li = spark.read.parquet(f"{d}/lineitem.parquet").where(where)
+    epoch = F.unix_seconds(F.col("l_shipdate").cast("timestamp")).cast("string")
+    head = F.concat_ws(", ", F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"),
+                       F.coalesce(F.col("l_quantity").cast("string"), F.lit("")))
+    return li.select(F.when(F.col("l_orderkey") % 7 == 0, head).otherwise(F.concat_ws(",", head, epoch)).alias("line"))
+
+
+_RATING_LINES_SQL = """
+SELECT l_orderkey AS user_id, l_partkey AS movie_id, l_quantity AS rating,
+       CASE WHEN l_orderkey % 7 <> 0 THEN CAST(epoch(l_shipdate) AS BIGINT) END AS ts
+FROM lineitem
+"""
+
+# the file readers' options on lines made of the tables: ratings with short lines, dimensions, reviews, words, tokens
+register("scan_rating_lines", _RATING_LINES_SQL)(
+    lambda spark, d: parse_lines(_rating_lines(spark, d), schemas.RATINGS, csv_options(",")))
+
+# an empty number is a bad number for the strict reader, so lines without a rating are not made
+register("scan_rating_lines_strict",
+         "SELECT * FROM (" + _RATING_LINES_SQL + ") x WHERE ts IS NOT NULL AND rating IS NOT NULL")(
+    lambda spark, d: parse_ratings(_rating_lines(spark, d, "l_quantity is not null")))
+
+register("yearly_rating_epoch", "SELECT CAST(year(make_timestamp(ts * 1000000)) AS INTEGER) AS year, "
+         "round_even(avg(rating), 4) AS avg_rating, count(rating) AS n FROM (" + _RATING_LINES_SQL + ") x "
+         "WHERE ts IS NOT NULL GROUP BY 1")(
+    lambda spark, d: plans.yearly_rating(filter_required_fields(
+        parse_lines(_rating_lines(spark, d), schemas.RATINGS, csv_options(",")), ["ts"])))
+
+register("scan_dimension_lines", """
+SELECT c_custkey AS user_id, nullif(trim(c_mktsegment), '') AS gender, CAST(c_custkey % 80 AS INTEGER) AS age,
+       CAST(c_nationkey AS INTEGER) AS occupation_id, CAST(c_custkey AS VARCHAR) AS zip
+FROM customer
+""")(lambda spark, d: parse_lines(
+    _lines(spark, d, "customer", F.col("c_custkey"), F.col("c_mktsegment"), F.col("c_custkey") % 80,
+           F.col("c_nationkey"), F.col("c_custkey"), sep=", "), schemas.USERS, csv_options(",")))
+
+register("scan_movie_lines", """
+SELECT p_partkey AS movie_id, trim(p_name || ', ' || p_type) AS title, trim(p_type) AS genres
+FROM part WHERE p_name IS NOT NULL
+""")(lambda spark, d: parse_movies(
+    _lines(spark, d, "part", F.col("p_partkey"), F.concat("p_name", F.lit(", "), "p_type"),
+           F.concat(F.lit("\t"), "p_type"), sep=",").where(~F.col("line").contains(",,"))))
+
+register("scan_review_lines", """
+SELECT CAST(doc_id AS VARCHAR) AS id, nullif(regexp_replace(text, '[;\\s]+', ' ', 'g'), '') AS review,
+       nullif(lang, '') AS topic, nullif(source, '') AS aspect, CAST(NULL AS VARCHAR) AS sentiment
+FROM documents WHERE doc_id IS NOT NULL
+""")(lambda spark, d: parse_lines(
+    _lines(spark, d, "documents", F.col("doc_id"), F.regexp_replace("text", r"[;\s]+", " "), F.col("lang"),
+           F.col("source"), F.lit(None), sep=";").where(~F.col("line").startswith(";")),
+    schemas.REVIEWS, REVIEW_OPTIONS))
+
+register("scan_word_lines", """
+SELECT trim(p_type) AS word FROM part WHERE trim(p_type) <> ''
+""")(lambda spark, d: parse_words(
+    _lines(spark, d, "part", F.concat(F.lit("\t "), "p_type", F.lit(" ")), sep="").unionByName(
+        spark.range(3).select(F.lit("  ").alias("line")))))
+
 _LINE_SCHEMA = T.StructType([T.StructField("order_key", T.LongType()), T.StructField("part_key", T.LongType()),
                              T.StructField("quantity", T.DoubleType())])
 
@@ -340,11 +410,11 @@ FROM users u JOIN occupation o ON u.occupation_id = o.occupation_id
                              "occupation_id", "drop")
      .select("user_id", "occupation_id", "occupation"))
 
-register("snowflake_lookup", with_tables("ratings", "users", "occupation") + """
+register("snowflake_lookup", with_tables("user_ratings", "users", "occupation") + """
 SELECT r.user_id, r.movie_id, r.rating, coalesce(o.name, 'unknown') AS name
 FROM ratings r LEFT JOIN users u ON r.user_id = u.user_id
 LEFT JOIN occupation o ON u.occupation_id = o.occupation_id
-""")(lambda spark, d: snowflake_lookup(tables.ratings(spark, d).select("user_id", "movie_id", "rating"),
+""")(lambda spark, d: snowflake_lookup(_user_ratings(spark, d).select("user_id", "movie_id", "rating"),
                                        tables.users(spark, d), "user_id", tables.occupation(spark, d),
                                        "occupation_id", "name", "unknown")
      .select("user_id", "movie_id", "rating", "name"))
@@ -366,12 +436,10 @@ SELECT movie_id, avg(rating) AS avg_raw, round_even(avg(rating), 4) AS avg_ratin
 """)(lambda spark, d: tables.ratings(spark, d).groupBy("movie_id").agg(
     F.avg("rating").alias("avg_raw"), round_half_even(F.avg("rating"), 4).alias("avg_rating")))
 
-register("sort_desc_tiebreak", with_tables("ratings") + f"""
-SELECT movie_id, sum(rating) AS total FROM ratings GROUP BY movie_id
-ORDER BY total DESC, movie_id LIMIT {REPORT_TOP}
+register("sort_desc_tiebreak", with_tables("ratings") + """
+SELECT movie_id, sum(rating) AS total FROM ratings GROUP BY movie_id ORDER BY total DESC, movie_id
 """)(lambda spark, d: sort_desc_tiebreak(
-    tables.ratings(spark, d).groupBy("movie_id").agg(F.sum("rating").alias("total")), "total", "movie_id")
-     .limit(REPORT_TOP))
+    tables.ratings(spark, d).groupBy("movie_id").agg(F.sum("rating").alias("total")), "total", "movie_id"))
 
 register("render_key_value", with_tables("ratings", "movies") + """
 SELECT s.movie_id, coalesce(m.title, 'Unknown') || chr(9) || 'Average rating: ' || CAST(s.avg_rating AS VARCHAR)
@@ -415,7 +483,7 @@ SELECT movie_id, title || chr(9) || {value_sql} AS line FROM wide
 """
 
 
-_GENDER_WIDE_CTE = with_tables("ratings", "users", "movies") + """, wide AS (
+_GENDER_WIDE_CTE = with_tables("user_ratings", "users", "movies") + """, wide AS (
 SELECT s.movie_id, coalesce(m.title, 'Unknown') AS title, s.male, s.female
 FROM (SELECT r.movie_id,
              CAST(avg(CASE WHEN u.gender = 'M' THEN r.rating END) AS FLOAT) AS male,
@@ -427,11 +495,11 @@ register("render_placeholder", _wide_lines_sql(
     _GENDER_WIDE_CTE,
     "'Male: ' || coalesce(CAST(male AS VARCHAR), 'N/A') || ', Female: ' || coalesce(CAST(female AS VARCHAR), 'N/A')"))(
     lambda spark, d: render_key_value(
-        plans.movie_gender_wide(tables.ratings(spark, d), tables.users(spark, d), tables.movies(spark, d)),
+        plans.movie_gender_wide(_user_ratings(spark, d), tables.users(spark, d), tables.movies(spark, d)),
         "title", F.concat(F.lit("Male: "), with_placeholder("male", "N/A"),
                           F.lit(", Female: "), with_placeholder("female", "N/A")), keep=["movie_id"]))
 
-_AGE_WIDE_CTE = with_tables("ratings", "users", "movies") + f""", wide AS (
+_AGE_WIDE_CTE = with_tables("user_ratings", "users", "movies") + f""", wide AS (
 SELECT s.movie_id, coalesce(m.title, 'Unknown') AS title, s.a0, s.a1, s.a2, s.a3
 FROM (SELECT movie_id,
              CAST(avg(CASE WHEN grp = '0-18' THEN rating END) AS FLOAT) AS a0,
@@ -444,7 +512,7 @@ LEFT JOIN movies m ON s.movie_id = m.movie_id)"""
 
 
 def _age_wide_lines(spark, d):
-    wide = plans.movie_age_wide(tables.ratings(spark, d), tables.users(spark, d), tables.movies(spark, d))
+    wide = plans.movie_age_wide(_user_ratings(spark, d), tables.users(spark, d), tables.movies(spark, d))
     parts = []
     for label, col in zip(["0-18", "18-35", "35-50", "50+"], ["avg_0_18", "avg_18_35", "avg_35_50", "avg_50_plus"]):
         parts.append(F.concat(F.lit(label + ": "), with_placeholder(col, "NA")))
@@ -457,7 +525,7 @@ register("render_placeholder_age", _wide_lines_sql(
     " || chr(9) || '35-50: ' || coalesce(CAST(a2 AS VARCHAR), 'NA') || chr(9) || '50+: '"
     " || coalesce(CAST(a3 AS VARCHAR), 'NA')"))(_age_wide_lines)
 
-register("render_csv_lines", with_tables("ratings", "users", "movies") + """
+register("render_csv_lines", with_tables("user_ratings", "users", "movies") + """
 , r AS (SELECT r.movie_id, r.rating, coalesce(u.gender, 'Unknown') AS gender
         FROM ratings r LEFT JOIN users u ON r.user_id = u.user_id),
 s AS (SELECT movie_id, gender, round_even(avg(rating), 4) AS avg_rating, count(rating) AS n FROM r GROUP BY ALL),
@@ -473,7 +541,7 @@ long AS (
 SELECT movie_id, gender, concat_ws(',', CAST(movie_id AS VARCHAR), title, gender, avg_out, CAST(n AS VARCHAR)) AS line
 FROM long
 """)(lambda spark, d: render_delimited(
-    plans.movie_gender_long(tables.ratings(spark, d), tables.users(spark, d), tables.movies(spark, d)),
+    plans.movie_gender_long(_user_ratings(spark, d), tables.users(spark, d), tables.movies(spark, d)),
     ["movie_id", "title", "gender", with_placeholder("avg_rating", "NaN"), "n"], ",", keep=["movie_id", "gender"]))
 
 
@@ -485,15 +553,37 @@ FROM (""" + _GENRE_STATS.format(avg="CAST(avg(g.rating) AS FLOAT)") + ") s")(
         "genre", F.concat(F.lit("Avg: "), F.col("avg_rating").cast("string"), F.lit(", Count: "),
                           F.col("n").cast("string")), keep=["genre"]))
 
-register("render_best_movie", with_tables("movie_stats", "movies") + f"""
+_BEST_RAW = f"""
+FROM (SELECT 1 AS one) o
+LEFT JOIN (SELECT * FROM raw_stats WHERE n >= {MIN_COUNT} ORDER BY avg_rating DESC, movie_id LIMIT 1) b ON TRUE
+LEFT JOIN movies m ON b.movie_id = m.movie_id
+"""
+
+
+def _best_raw(spark, d):
+    return plans.best_movie(tables.ratings(spark, d), tables.movies(spark, d), MIN_COUNT, places=None, as_float=True)
+
+
+register("best_movie_raw", with_tables("raw_stats", "movies") + """
+SELECT b.movie_id, CASE WHEN b.movie_id IS NOT NULL THEN coalesce(m.title, 'Unknown') END AS title,
+       b.avg_rating, b.n""" + _BEST_RAW)(_best_raw)
+
+register("render_best_movie", with_tables("raw_stats", "movies") + f"""
 SELECT CASE WHEN b.movie_id IS NULL THEN 'No movies exist' || chr(9) || 'No movie with highest ratings'
             ELSE coalesce(m.title, 'Unknown') || chr(9) || 'is the highest rated movie with an average rating of '
                  || CAST(b.avg_rating AS VARCHAR) || ' among movies with at least {MIN_COUNT} ratings.' END AS line
-FROM (SELECT 1 AS one) o
-LEFT JOIN (SELECT * FROM movie_stats WHERE n >= {MIN_COUNT} ORDER BY avg_rating DESC, movie_id LIMIT 1) b ON TRUE
-LEFT JOIN movies m ON b.movie_id = m.movie_id
-""")(lambda spark, d: render_best_line(
-    plans.best_movie(tables.ratings(spark, d), tables.movies(spark, d), MIN_COUNT), MIN_COUNT))
+""" + _BEST_RAW)(lambda spark, d: render_best_line(_best_raw(spark, d), MIN_COUNT))
+
+register("render_best_block", with_tables("movie_stats", "movies") + f"""
+, best AS (SELECT s.movie_id, coalesce(m.title, 'Unknown') AS title, s.avg_rating, s.n
+           FROM movie_stats s LEFT JOIN movies m ON s.movie_id = m.movie_id
+           WHERE s.n >= {MIN_COUNT} ORDER BY s.avg_rating DESC, s.movie_id LIMIT 1)
+SELECT 1 AS line_no, '  Tên phim  : ' || title AS line FROM best
+UNION ALL SELECT 2, '  MovieID   : ' || movie_id FROM best
+UNION ALL SELECT 3, '  Avg Rating: ' || printf('%.4f', avg_rating) FROM best
+UNION ALL SELECT 4, '  Số lượt   : ' || n FROM best
+""")(lambda spark, d: render_best_block(
+    plans.best_movie(tables.ratings(spark, d), tables.movies(spark, d), MIN_COUNT)))
 
 
 def queries() -> dict[str, Query]:

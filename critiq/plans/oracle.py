@@ -10,9 +10,11 @@ from critiq.sources.tables import STOPWORDS
 
 CTE = {
     "ratings": """ratings AS (
-  SELECT (SELECT max(o.o_custkey) FROM orders o WHERE o.o_orderkey = l.l_orderkey) AS user_id,
-         l.l_partkey AS movie_id, l.l_quantity AS rating, l.l_shipdate AS ts
-  FROM lineitem l)""",
+  SELECT l.l_partkey AS movie_id, l.l_quantity AS rating, l.l_shipdate AS ts FROM lineitem l)""",
+    # the same table under the same name, with the user of each rating
+    "user_ratings": """ratings AS (
+  SELECT o.o_custkey AS user_id, l.l_partkey AS movie_id, l.l_quantity AS rating, l.l_shipdate AS ts
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey)""",
     "movies": """movies AS (
   SELECT p_partkey AS movie_id, p_name AS title, replace(p_name, ' ', '|') || '|' || p_type AS genres
   FROM part)""",
@@ -25,9 +27,8 @@ CTE = {
   SELECT n_nationkey AS occupation_id, n_name AS name FROM nation WHERE n_regionkey <> 0)""",
     "reviews": """reviews AS (
   SELECT d.doc_id AS id, d.text AS review, d.lang AS topic, d.source AS aspect,
-         CASE (SELECT max(l.quality) FROM labels l WHERE l.doc_id = d.doc_id)
-              WHEN 1 THEN 'positive' WHEN 0 THEN 'negative' END AS sentiment
-  FROM documents d)""",
+         CASE l.quality WHEN 1 THEN 'positive' WHEN 0 THEN 'negative' END AS sentiment
+  FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)""",
     "stopwords": "stopwords AS (SELECT * FROM (VALUES "
                  + ", ".join("('" + w.replace("'", "''") + "')" for w in STOPWORDS)
                  + ") AS t(word))",
@@ -46,6 +47,8 @@ CTE = {
   SELECT tf.topic, tf.word, tf.tf, dfreq.df,
          round(tf.tf * ln(CAST((SELECT count(DISTINCT topic) FROM tf) AS DOUBLE) / dfreq.df), 6) AS score
   FROM tf JOIN dfreq ON tf.word = dfreq.word)""",
+    "raw_stats": """raw_stats AS (
+  SELECT movie_id, CAST(avg(rating) AS FLOAT) AS avg_rating, count(rating) AS n FROM ratings GROUP BY movie_id)""",
     "movie_stats": """movie_stats AS (
   SELECT movie_id, round_even(avg(rating), 4) AS avg_rating, count(rating) AS n FROM ratings GROUP BY movie_id)""",
 }
@@ -58,6 +61,7 @@ _DEPS = {
     "dfreq": ["tf"],
     "tfidf": ["tf", "dfreq"],
     "movie_stats": ["ratings"],
+    "raw_stats": ["ratings"],
 }
 
 

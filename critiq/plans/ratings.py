@@ -57,9 +57,15 @@ def movie_rating_ranked(ratings: DataFrame, movies: DataFrame, min_count: int =
     return titled.select(F.col("rank").cast("long").alias("rank"), "movie_id", "title", "avg_rating", "n")
 
 
-def best_movie(ratings: DataFrame, movies: DataFrame, min_count: int = 5) -> DataFrame:
-    """Best movie: one row (NULLs when no movie has ``min_count`` ratings)."""
-    stats = rating_stats(ratings, ["movie_id"], places=4)
+def best_movie(ratings: DataFrame, movies: DataFrame, min_count: int = 5, places: int | None = 4,
+               as_float: bool = False) -> DataFrame:
+    """Best movie: one row (NULLs when no movie has ``min_count`` ratings).
+
+    Decided on the average rounded to ``places`` (default), or with
+    ``places=None, as_float=True`` on the unrounded float32 average, the
+    form of the summary's sentence; ties go to the smaller id.
+    """
+    stats = rating_stats(ratings, ["movie_id"], places=places, as_float=as_float)
     best = best_with_support(stats, "movie_id", min_count)
     return lookup_few(best, _titles(movies), "movie_id", {"title": UNKNOWN_TITLE}) \
         .select("movie_id", "title", "avg_rating", "n")
@@ -142,8 +148,8 @@ def movie_age_long(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> D
                         movies, "age_group")
 
 
-def occupation_rating(ratings: DataFrame, users: DataFrame, occupation: DataFrame) -> DataFrame:
-    """Ranked occupations: rank, occupation, avg_rating, n. Unknown user or occupation id -> ``unknown``.
+def occupation_stats(ratings: DataFrame, users: DataFrame, occupation: DataFrame) -> DataFrame:
+    """occupation, avg_rating, n. Unknown user or occupation id -> ``unknown``.
 
     Ratings are summed per user before the two lookups, so the joins see one
     row per user instead of one per rating. Occupations without ratings are
@@ -152,7 +158,12 @@ def occupation_rating(ratings: DataFrame, users: DataFrame, occupation: DataFram
     per_user = rating_sums(ratings, ["user_id"])
     named = snowflake_lookup(per_user, users, "user_id", occupation, "occupation_id", "name",
                              UNKNOWN_OCCUPATION)
-    stats = finish_stats(named.withColumnRenamed("name", "occupation"), ["occupation"], 4, rollup=True)
+    return finish_stats(named.withColumnRenamed("name", "occupation"), ["occupation"], 4, rollup=True)
+
+
+def occupation_rating(ratings: DataFrame, users: DataFrame, occupation: DataFrame) -> DataFrame:
+    """Ranked occupations: rank, occupation, avg_rating, n (see :func:`occupation_stats`)."""
+    stats = occupation_stats(ratings, users, occupation)
     out = global_row_number(stats, [F.col("avg_rating").desc(), F.col("occupation").asc()], "rank")
     return out.select(F.col("rank").cast("long").alias("rank"), "occupation", "avg_rating", "n")
 

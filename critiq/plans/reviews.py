@@ -38,15 +38,9 @@ def aspect_counts(reviews: DataFrame) -> DataFrame:
 
 
 def top_aspect(reviews: DataFrame, sentiment: str) -> DataFrame:
-    """Top aspect: the aspect(s) with the most reviews of ``sentiment``; all ties kept.
-
-    The per-aspect counts (one row per aspect) are materialised, so the
-    maximum subquery and the filter read them instead of scanning the
-    reviews twice.
-    """
+    """Top aspect: the aspect(s) with the most reviews of ``sentiment``; all ties kept."""
     picked = reviews.where(F.col("sentiment") == sentiment)
-    counts = materialize(picked.groupBy("aspect").agg(F.count("id").alias("n_reviews")))
-    return argmax_with_ties(counts, "n_reviews")
+    return argmax_with_ties(picked.groupBy("aspect").agg(F.count("id").alias("n_reviews")), "n_reviews")
 
 
 def topic_top_words(tokens: DataFrame, sentiment: str, k: int = 5) -> DataFrame:

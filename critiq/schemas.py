@@ -9,12 +9,6 @@ RATINGS = T.StructType([
     T.StructField("ts", T.LongType()),          # epoch seconds
 ])
 
-MOVIES_RAW = T.StructType([
-    T.StructField("movie_id", T.LongType()),
-    T.StructField("title", T.StringType()),
-    T.StructField("genres", T.StringType()),    # '|' separated list
-])
-
 USERS = T.StructType([
     T.StructField("user_id", T.LongType()),
     T.StructField("gender", T.StringType()),
@@ -42,10 +36,3 @@ TOKENS = T.StructType([
     T.StructField("aspect", T.StringType()),
     T.StructField("sentiment", T.StringType()),
 ])
-
-WORDLIST = T.StructType([T.StructField("word", T.StringType())])
-
-
-def all_strings(schema: T.StructType) -> T.StructType:
-    """Same field names, every field a string (raw parse stage)."""
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])

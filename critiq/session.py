@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,10 +47,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the folder used by ``DataFrame.checkpoint``.
 
     The folder the cluster names in ``spark.checkpoint.dir`` (a shared file
-    system) always wins. Only a local-mode session (tests, a laptop) without
-    that setting gets a fresh scratch folder; on a cluster a missing setting
-    is an error, because a machine-local folder would not survive the loss
-    of the executor that wrote it.
+    system) always wins. Only a session whose executors live in the driver's
+    own process (master ``local`` or ``local[...]``: tests, a laptop) gets a
+    scratch folder where that setting is missing; with any other master,
+    ``local-cluster`` included, a missing setting is an error, because other
+    machines could not read a machine-local folder.
     """
     try:
         sc = spark.sparkContext
@@ -60,7 +62,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (e.g. on HDFS or an object store)")
         configured = tempfile.mkdtemp(prefix="critiq-ckpt-")
     sc.setCheckpointDir(configured)
@@ -88,8 +90,9 @@ def scale_conf(shuffle_bytes: int, cores: int, partition_bytes: int = 256 * _MIB
 
     * shuffle partitions: about ``partition_bytes`` each (so a task's sort
       and aggregation buffers fit in executor memory without heavy spill),
-      at least two per core, at most ``max_partitions`` (map-status and
-      scheduling cost on the driver). AQE then merges small partitions of
+      at least two per core; ``max_partitions`` bounds this number alone
+      (map-status and scheduling cost on the driver): partitions then grow,
+      no row is left out. AQE then merges small partitions of
       the lighter shuffles (most shuffles here follow a map-side partial
       aggregation and are far smaller than the largest one).
     * skewed join partitions (a key holding a large share of the rows) are

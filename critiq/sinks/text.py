@@ -64,6 +64,19 @@ def render_best_line(best: DataFrame, min_count: int, keep: Sequence[str] = ())
     return best.select(*keep, line.alias("line"))
 
 
+# Labels of the report's best-movie block, in order.
+BEST_BLOCK = ["  Tên phim  : ", "  MovieID   : ", "  Avg Rating: ", "  Số lượt   : "]
+
+
+def render_best_block(best: DataFrame) -> DataFrame:
+    """K5: line_no, line of the best-movie block; no lines when no movie qualifies."""
+    values = [F.col("title"), F.col("movie_id").cast("string"), F.format_string("%.4f", F.col("avg_rating")),
+              F.col("n").cast("string")]
+    lines = F.array(*[F.struct(F.lit(i + 1).alias("line_no"), F.concat(F.lit(label), v).alias("line"))
+                      for i, (label, v) in enumerate(zip(BEST_BLOCK, values))])
+    return best.where(F.col("movie_id").isNotNull()).select(F.inline(lines))
+
+
 def write_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a one-column ``line`` frame as text files (one per partition)."""
     lines.select("line").write.mode(mode).text(path)

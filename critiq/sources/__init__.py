@@ -10,5 +10,9 @@ from critiq.sources.text import (  # noqa: F401
     read_tokens,
     read_wordlist,
     union_inputs,
-    with_line_order,
+    csv_options,
+    parse_lines,
+    parse_movies,
+    parse_ratings,
+    parse_words,
 )

@@ -4,9 +4,9 @@ The analyses speak of ``ratings``, ``movies``, ``users``, ``occupation``,
 ``reviews`` and ``stopwords``. On the test data they are projections of the
 TPC-H-like tables; every column is pruned at the scan so only the fields used
 are read. Attributes that live in another table (a rating's user, a review's
-sentiment) are correlated scalar subqueries, so a query that does not use
-them reads neither that table nor joins it. ``oracle.py`` defines the same
-tables in SQL.
+sentiment) come by a plain equi-join, only where the caller asks for them:
+other queries neither read that table nor join it. ``oracle.py`` defines the
+same tables in SQL.
 """
 
 from __future__ import annotations
@@ -19,67 +19,30 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-distribute a scan that Spark reads in fewer tasks than there are cores.
-
-    A parquet row group is the smallest unit a scan task reads, so a table
-    stored as one row group is scanned by one task and every per-row step
-    after it (text cleaning, explode, partial aggregation) runs on one core.
-    Such an input is small by construction, and redistributing it costs
-    little. A large input already yields more splits than cores and is
-    returned untouched, so at scale this adds no shuffle. ``keys`` should be
-    unique per row (e.g. order key and line number), so that a hot join key
-    cannot pile its rows into one partition; hashing keeps the placement
-    deterministic when a task is retried.
-    """
-    spark = df.sparkSession
-    try:
-        splits, cores = df.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism
-    except Exception:  # no RDD view of the plan (e.g. a Spark Connect session): leave as is
-        return df
-    if splits >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
-def _customer_of_order(spark: SparkSession, sf_dir: str, line_alias: str):
-    """The ordering customer of a line item, as a correlated scalar subquery.
-
-    Each line item belongs to one order (a foreign key), so this equals the
-    inner join with orders. Written as a subquery, a query that never uses
-    ``user_id`` prunes it, and the orders table, from its plan: the
-    per-movie analyses then read only the line items, with no shuffle of
-    the largest table by order key. Where ``user_id`` is used, Spark plans a
-    "single" join (a lookup that fails if an order key matched twice) with
-    no aggregation of the orders.
-    """
-    orders = _read(spark, sf_dir, "orders").alias("o")
-    return (orders.where(F.col("o.o_orderkey") == F.col(f"{line_alias}.l_orderkey").outer())
-            .select("o.o_custkey").scalar())
-
-
-def _ratings_from(spark: SparkSession, sf_dir: str, li: DataFrame) -> DataFrame:
-    li = li.alias("li")
-    return li.select(_customer_of_order(spark, sf_dir, "li").alias("user_id"),
-                     F.col("l_partkey").alias("movie_id"),
-                     F.col("l_quantity").alias("rating"),
+def _ratings_from(spark: SparkSession, sf_dir: str, li: DataFrame, user: bool) -> DataFrame:
+    if user:
+        orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        li = li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
+    who = [F.col("o_custkey").alias("user_id")] if user else []
+    return li.select(*who, F.col("l_partkey").alias("movie_id"), F.col("l_quantity").alias("rating"),
                      F.col("l_shipdate").alias("ts"))
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """user_id, movie_id, rating, ts: one row per line item, by the customer of its order."""
-    li = spread(_read(spark, sf_dir, "lineitem")
-                .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate"),
-                "l_orderkey", "l_linenumber")
-    return _ratings_from(spark, sf_dir, li)
+def ratings(spark: SparkSession, sf_dir: str, user: bool = False) -> DataFrame:
+    """movie_id, rating, ts: one row per line item; with ``user`` also user_id, the customer of its order.
+
+    The user comes by an inner join with the orders (both large: a
+    sort-merge join on the order key, which spreads evenly).
+    """
+    return _ratings_from(spark, sf_dir, _read(spark, sf_dir, "lineitem"), user)
 
 
 def rating_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The two rating "files" of S1: line status ``F`` and the rest."""
-    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity",
-                                                 "l_shipdate", "l_linestatus")
-    return (_ratings_from(spark, sf_dir, li.where(F.col("l_linestatus") == "F")),
-            _ratings_from(spark, sf_dir, li.where(F.col("l_linestatus") != "F")))
+    """The two rating "files" of S1, with users: line status ``F`` and the rest (NULL included)."""
+    li = _read(spark, sf_dir, "lineitem")
+    first = li.where(F.col("l_linestatus") == "F")
+    rest = li.where(~F.col("l_linestatus").eqNullSafe("F"))
+    return _ratings_from(spark, sf_dir, first, True), _ratings_from(spark, sf_dir, rest, True)
 
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,24 +76,20 @@ def occupation(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("n_nationkey").alias("occupation_id"), F.col("n_name").alias("name")))
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """id, review, topic (language), aspect (source), sentiment (from the quality label or NULL).
+def reviews(spark: SparkSession, sf_dir: str, sentiment: bool = False) -> DataFrame:
+    """id, review, topic (language), aspect (source); with ``sentiment`` also that (from the quality label or NULL).
 
-    The label is a correlated scalar subquery: labels are keyed by document,
-    one sentiment per review (a duplicate label fails the query rather than
-    being resolved silently). A query that does not use ``sentiment`` prunes
-    the subquery, so neither the labels nor a join appear in its plan: word
-    counts and TF-IDF never shuffle the text by document id just to attach a
-    column they drop. Where ``sentiment`` is used, Spark plans a "single"
-    join with the labels.
+    Labels are keyed by document and joined once; a document with several
+    labels has a row for each.
     """
-    docs = spread(_read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id").alias("d")
-    labels = _read(spark, sf_dir, "labels").alias("l")
-    quality = labels.where(F.col("l.doc_id") == F.col("d.doc_id").outer()).select("l.quality").scalar()
-    sentiment = F.when(quality == 1, "positive").when(quality == 0, "negative")
-    return docs.select(F.col("doc_id").alias("id"), F.col("text").alias("review"),
-                       F.col("lang").alias("topic"), F.col("source").alias("aspect"),
-                       sentiment.alias("sentiment"))
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    out = [F.col("doc_id").alias("id"), F.col("text").alias("review"), F.col("lang").alias("topic"),
+           F.col("source").alias("aspect")]
+    if sentiment:
+        docs = docs.join(_read(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+        out.append(F.when(F.col("quality") == 1, "positive").when(F.col("quality") == 0, "negative")
+                   .alias("sentiment"))
+    return docs.select(*out)
 
 
 # The stop-word list used on the test data. It holds repeats

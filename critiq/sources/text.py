@@ -5,9 +5,13 @@ inputs are UTF-8 text without header or quoting, so quoting is switched off
 (``quote=""``) and fields are whitespace-trimmed, which covers both the
 ``", "`` and the ``","`` separated variants.
 
-``mode`` follows Spark's CSV reader: ``"PERMISSIVE"`` turns a malformed number
-into NULL and pads short rows with NULL (then :func:`filter_required_fields`
-drops them, S6); ``"FAILFAST"`` stops the job on the first bad line (S7).
+A number that does not parse is NULL by default (then
+:func:`filter_required_fields` drops its row, S6). With ``strict`` short
+lines are dropped and a bad number fails the query, whatever the session's
+ANSI setting (S7).
+
+The parser options of each input kind are shared with :func:`parse_lines`,
+which applies them to lines that are already a column.
 """
 
 from __future__ import annotations
@@ -19,98 +23,124 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from critiq import schemas
-from critiq.functions.text import regex_literal
+from critiq.functions.text import regex_literal, strip
+
+
+def csv_options(sep: str, trimmed: bool = True) -> dict[str, str]:
+    """Parser options of a delimited input: no header, no quoting; ``trimmed`` drops blanks around fields."""
+    return {"sep": sep, "header": "false", "quote": "", "escape": "",
+            "ignoreLeadingWhiteSpace": str(trimmed).lower(), "ignoreTrailingWhiteSpace": str(trimmed).lower(),
+            "mode": "PERMISSIVE"}
+
+
+REVIEW_OPTIONS = csv_options(";", trimmed=False)
+TOKEN_OPTIONS = csv_options("\t", trimmed=False)
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType, options: dict[str, str], line: str = "line") -> DataFrame:
+    """The columns of ``schema`` from a text column, parsed as the file readers do."""
+    parsed = F.from_csv(F.col(line), schema.simpleString()[len("struct<"):-1].replace(":", " "), options)
+    return lines.select(parsed.alias("_row")).select("_row.*")
 
 
 def _paths(paths: str | Iterable[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def _csv(spark: SparkSession, schema: T.StructType, sep: str, mode: str):
-    return (spark.read.schema(schema)
-            .option("sep", sep)
-            .option("header", "false")
-            .option("quote", "")
-            .option("escape", "")
-            .option("ignoreLeadingWhiteSpace", "true")
-            .option("ignoreTrailingWhiteSpace", "true")
-            .option("mode", mode))
+def read_ratings(spark: SparkSession, paths: str | Iterable[str], sep: str = ",", strict: bool = False) -> DataFrame:
+    """Several rating files read as one relation (bag union, duplicates kept).
 
+    ``strict`` drops lines with fewer fields than the schema (S6) and fails
+    on a bad number (S7).
+    """
+    if strict:
+        return parse_ratings(spark.read.text(_paths(paths)), "value", sep)
+    return spark.read.schema(schemas.RATINGS).options(**csv_options(sep)).csv(_paths(paths))
 
-def read_ratings(spark: SparkSession, paths: str | Iterable[str], sep: str = ",",
-                 mode: str = "PERMISSIVE") -> DataFrame:
-    """Several rating files read as one relation (bag union, duplicates kept)."""
-    return _csv(spark, schemas.RATINGS, sep, mode).csv(_paths(paths))
 
+def parse_ratings(lines: DataFrame, line: str = "line", sep: str = ",") -> DataFrame:
+    """S6 and S7 together: lines with too few fields go, a bad number fails the query."""
+    enough = F.size(F.split(F.col(line), regex_literal(sep))) >= len(schemas.RATINGS.fields)
+    return lines.where(enough).select(*parse_delimited(line, sep, schemas.RATINGS, strict=True))
 
-def read_dimension(spark: SparkSession, paths: str | Iterable[str], schema: T.StructType,
-                   sep: str = ",", mode: str = "PERMISSIVE", line_order: bool = False) -> DataFrame:
-    """Comma-delimited dimension (users, occupation), whitespace tolerant.
 
-    ``line_order`` adds ``line_no`` (see :func:`with_line_order`) for a
-    last-line-wins de-duplication of repeated keys.
+def _in_line_order(spark: SparkSession, paths: str | Iterable[str], read) -> DataFrame:
+    """``read(reader, path)`` of every path, with ``line_no``: place of the path, file, place in the file.
+
+    Paths rank in the order given, the files below one path by name, lines
+    by the split they lie in and their place there.
     """
-    df = _csv(spark, schema, sep, mode).csv(_paths(paths))
-    return with_line_order(df) if line_order else df
+    parts = []
+    for place, path in enumerate(_paths(paths)):
+        part = read(spark.read, path)
+        parts.append(part.withColumn("line_no", F.struct(
+            F.lit(place).alias("path"), F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))))
+    return union_inputs(*parts)
 
 
-def with_line_order(df: DataFrame, name: str = "line_no") -> DataFrame:
-    """Add a column that increases with the position of each line in the input.
+def read_dimension(spark: SparkSession, paths: str | Iterable[str], schema: T.StructType,
+                   sep: str = ",", line_order: bool = False) -> DataFrame:
+    """Comma-delimited dimension (users, occupation), whitespace tolerant.
 
-    Within a file, ids follow the line order; across files, they follow the
-    order of the scan's splits. ``dedupe_dimension(dim, key, "line_no")`` then
-    keeps the last line of each key, as a hash map filled line by line does (J9).
+    ``line_order`` adds ``line_no``, which grows with the place of a line in
+    the input; ``dedupe_dimension(dim, key, "line_no")`` then keeps the last
+    line of each key, as a hash map filled line by line does (J9).
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    def read(reader, path):
+        return reader.schema(schema).options(**csv_options(sep)).csv(path)
 
+    return _in_line_order(spark, paths, read) if line_order else read(spark.read, _paths(paths))
 
-def read_movies(spark: SparkSession, paths: str | Iterable[str], strict: bool = False,
-                line_order: bool = False) -> DataFrame:
-    """S2 for movies: first field = id, last field = genres, everything between = title.
+
+def parse_movies(lines: DataFrame, line: str = "line", strict: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """movie_id, title, genres of text lines: first field = id, last field = genres, everything between = title.
 
     A plain split on ``,`` would cut titles that hold commas (D14), so the
     fields in between are joined back. Lines with fewer than three fields are
     dropped; a non-numeric id is NULL and dropped (or fails with ``strict``).
     """
-    lines = spark.read.text(_paths(paths))
-    if line_order:
-        lines = with_line_order(lines)
-    parts = F.split(F.col("value"), ",")
+    parts = F.split(F.col(line), ",")
     n = F.size(parts)
-    raw_id = F.trim(F.get(parts, 0))
-    movie_id = raw_id.cast("long") if strict else raw_id.try_cast("long")
-    title = F.trim(F.array_join(F.slice(parts, F.lit(2), n - 2), ","))
-    genres = F.trim(F.element_at(parts, -1))
-    extra = ["line_no"] if line_order else []
+    movie_id = _typed(strip(F.get(parts, 0)), T.LongType(), strict)
+    title = strip(F.array_join(F.slice(parts, F.lit(2), n - 2), ","))
     return (lines.where(n >= 3)
-            .select(movie_id.alias("movie_id"), title.alias("title"), genres.alias("genres"), *extra)
+            .select(movie_id.alias("movie_id"), title.alias("title"), strip(F.element_at(parts, -1)).alias("genres"),
+                    *keep)
             .where(F.col("movie_id").isNotNull()))
 
 
-def read_reviews(spark: SparkSession, paths: str | Iterable[str], sep: str = ";") -> DataFrame:
+def read_movies(spark: SparkSession, paths: str | Iterable[str], strict: bool = False,
+                line_order: bool = False) -> DataFrame:
+    """S2 for movies (see :func:`parse_movies`); ``line_order`` as in :func:`read_dimension`."""
+    if line_order:
+        lines = _in_line_order(spark, paths, lambda reader, path: reader.text(path))
+        return parse_movies(lines, "value", strict, ["line_no"])
+    return parse_movies(spark.read.text(_paths(paths)), "value", strict)
+
+
+def read_reviews(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """S3: ``;`` separated reviews, every column a string; empty field -> NULL."""
-    return (spark.read.schema(schemas.REVIEWS)
-            .option("sep", sep).option("header", "false")
-            .option("quote", "").option("escape", "")
-            .csv(_paths(paths)))
+    return spark.read.schema(schemas.REVIEWS).options(**REVIEW_OPTIONS).csv(_paths(paths))
 
 
-def read_wordlist(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
-    """One word per line; trimmed, blank lines skipped.
+def parse_words(lines: DataFrame, line: str = "line") -> DataFrame:
+    """word: one per line; trimmed, blank lines skipped.
 
     Duplicates are kept: the anti join that consumes the list ignores them
     (D12), and de-duplicating would cost a shuffle.
     """
-    words = spark.read.text(_paths(paths)).select(F.trim("value").alias("word"))
-    return words.where(F.col("word") != "")
+    return lines.select(strip(F.col(line)).alias("word")).where(F.col("word") != "")
+
+
+def read_wordlist(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+    """One word per line (see :func:`parse_words`)."""
+    return parse_words(spark.read.text(_paths(paths)), "value")
 
 
 def read_tokens(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """Tab separated re-load of stored tokens (word, topic, aspect, sentiment)."""
-    return (spark.read.schema(schemas.TOKENS)
-            .option("sep", "\t").option("header", "false")
-            .option("quote", "").option("escape", "")
-            .csv(_paths(paths)))
+    return spark.read.schema(schemas.TOKENS).options(**TOKEN_OPTIONS).csv(_paths(paths))
 
 
 def union_inputs(*frames: DataFrame) -> DataFrame:
@@ -135,19 +165,21 @@ def parse_delimited(line: Column | str, sep: str, schema: T.StructType,
 
     The line is split into at most ``len(schema)`` parts (like Python's
     ``split(sep, n-1)``), each part is trimmed and cast to the schema type.
-    ``strict`` casts with ANSI semantics (a bad number fails the query, S7);
-    otherwise ``try_cast`` yields NULL.
+    A value that does not parse is NULL, or with ``strict`` fails the query
+    whatever the session's ANSI setting (S7).
     """
     col = F.col(line) if isinstance(line, str) else line
     parts = F.split(col, regex_literal(sep), len(schema.fields))
-    out = []
-    for i, field in enumerate(schema.fields):
-        raw = F.trim(F.get(parts, i))
-        if isinstance(field.dataType, T.StringType):
-            typed = raw
-        elif strict:
-            typed = raw.cast(field.dataType)
-        else:
-            typed = raw.try_cast(field.dataType)
-        out.append(typed.alias(field.name))
-    return out
+    return [_typed(strip(F.get(parts, i)), field.dataType, strict).alias(field.name)
+            for i, field in enumerate(schema.fields)]
+
+
+def _typed(raw: Column, kind: T.DataType, strict: bool) -> Column:
+    """``raw`` as ``kind``; a text that does not parse is NULL, or an error with ``strict``."""
+    if isinstance(kind, T.StringType):
+        return raw
+    value = raw.try_cast(kind)
+    if not strict:
+        return value
+    bad = F.raise_error(F.concat(F.lit(f"not a {kind.simpleString()}: "), raw)).cast(kind)
+    return F.when(raw.isNotNull() & value.isNull(), bad).otherwise(value)

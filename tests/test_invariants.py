@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="test tables
 @pytest.fixture(scope="module")
 def t(spark):
     return {
-        "ratings": tables.ratings(spark, SF_SMALL), "movies": tables.movies(spark, SF_SMALL),
+        "ratings": tables.ratings(spark, SF_SMALL, user=True), "movies": tables.movies(spark, SF_SMALL),
         "users": tables.users(spark, SF_SMALL), "occupation": tables.occupation(spark, SF_SMALL),
         "reviews": tables.reviews(spark, SF_SMALL), "stop": tables.stopwords(spark),
     }

@@ -3,10 +3,10 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from critiq.operators import global_row_number, sort_desc_tiebreak
-from tests.conftest import explain_text
 
 
 def _check(spark, rows, partitions):
@@ -31,21 +31,29 @@ def test_hot_value_and_tiny_inputs(spark):
     assert global_row_number(df, [F.col("v").desc(), F.col("k")], "rank").collect() == []
 
 
-def test_range_shuffle_is_reused_not_recomputed(spark):
-    df = spark.range(0, 5000).select(F.col("id").alias("k"), (F.col("id") % 97).cast("double").alias("v"))
-    out = global_row_number(df, [F.col("v").desc(), F.col("k")], "rank")
-    out.collect()
-    plan = explain_text(out, "simple")
-    assert "ReusedExchange" in plan and "rangepartitioning" in plan
-
-
-def test_checkpoint_path_without_exchange_reuse(spark):
-    spark.conf.set("spark.sql.exchange.reuse", "false")
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_many_rows_with_other_columns_and_ties(spark, adaptive):
+    # far above the sample that range partitioning draws: three runs, each exactly 1..n in order
+    n = 250_000
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     try:
-        rnd = random.Random(5)
-        _check(spark, [(k, float(rnd.randint(0, 5))) for k in range(300)], 6)
+        for _ in range(3):
+            df = spark.range(0, n).select(F.xxhash64("id").alias("k"), (F.col("id") % 97).cast("double").alias("v"),
+                                          F.concat(F.lit("title "), F.col("id")).alias("title"), F.lit(1).alias("n"))
+            out = global_row_number(df, [F.col("v").desc(), F.col("k").asc()], "rank", 16)
+            w = Window.orderBy(F.col("v").desc(), F.col("k"))
+            wrong = out.withColumn("want", F.row_number().over(w)).where("rank <> want").count()
+            stats = out.agg(F.count_distinct("rank"), F.min("rank"), F.max("rank")).first()
+            assert (wrong, *stats) == (0, n, 1, n)
     finally:
-        spark.conf.set("spark.sql.exchange.reuse", "true")
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_default_partitions_are_the_shuffle_partitions(spark):
+    df = spark.range(0, 1000).select(F.col("id").alias("k"))
+    out = global_row_number(df, [F.col("k").desc()], "rank")
+    assert out.select(F.spark_partition_id()).distinct().count() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def test_sort_desc_tiebreak_nulls_last(spark):

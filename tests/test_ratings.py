@@ -166,8 +166,21 @@ def test_snowflake_lookup(spark):
     assert got == [(1, 5.0, "Doctor"), (2, 4.0, "unknown"), (3, 3.0, "unknown")]
 
 
-def test_default_applies_to_unmatched_keys_only(spark):
+def test_default_fills_unmatched_keys_and_null_attributes(spark):
     fact = spark.createDataFrame([(1,), (2,)], "k long")
     dim = spark.createDataFrame([(1, None)], "k long, v string")
     got = sorted(tuple(r) for r in lookup(fact, dim, "k", "default", {"v": "Unknown"}).collect())
-    assert got == [(1, None), (2, "Unknown")]
+    assert got == [(1, "Unknown"), (2, "Unknown")]
+
+
+def test_raw_best_movie_separates_averages_equal_at_four_places(spark):
+    # 4.00001 and 4.00002 round alike: the rounded form takes the smaller id, the raw form the larger average
+    rows = [(1, 1, 4.00001, 0)] * 5 + [(1, 2, 4.00002, 0)] * 5
+    ratings = spark.createDataFrame(rows, "user_id long, movie_id long, rating double, ts long")
+    movies = spark.createDataFrame([(1, "One", "x"), (2, "Two", "x")], "movie_id long, title string, genres string")
+    assert plans.best_movie(ratings, movies, 5).first().title == "One"
+    raw = plans.best_movie(ratings, movies, 5, places=None, as_float=True).first()
+    assert (raw.title, raw.movie_id) == ("Two", 2)
+    from critiq.sinks import render_best_line
+    line = render_best_line(plans.best_movie(ratings, movies, 5, places=None, as_float=True), 5).first().line
+    assert line.startswith("Two\tis the highest rated movie with an average rating of 4.00002 among")

@@ -32,22 +32,31 @@ def test_ratings_two_files_spaces_short_row_bad_number(spark, scratch):
     assert kept == 3
 
 
-def test_ratings_failfast_bad_number(spark, scratch):
-    p = _write(os.path.join(scratch, "r.txt"), ["1,10,4.5,1", "1,11,x,2"])
-    with pytest.raises(Exception):
-        read_ratings(spark, p, mode="FAILFAST").collect()
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strict_ratings_drop_short_lines_and_fail_on_bad_numbers(spark, scratch, ansi):
+    good = _write(os.path.join(scratch, "good.txt"), ["1,10,4.5,1", "\t2 ,\t11,3.0 , 2\t", "3,12"])
+    bad = _write(os.path.join(scratch, "bad.txt"), ["1,10,4.5,1", "1,11,x,2"])
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        rows = sorted(tuple(r) for r in read_ratings(spark, good, strict=True).collect())
+        assert rows == [(1, 10, 4.5, 1), (2, 11, 3.0, 2)]
+        with pytest.raises(Exception, match="not a double: x"):
+            read_ratings(spark, [good, bad], strict=True).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
 
 
 def test_movies_title_with_comma_and_single_genre(spark, scratch):
     p = _write(os.path.join(scratch, "m.txt"), [
-        "1043, Toy Story (1995), Animation|Children",
-        "7,Crouching Tiger, Hidden Dragon (2000),Action",
+        "31, Paper Lantern (2011), Family|Fantasy",
+        "7,Slow River, Quiet Field (2004),Action",
         "9,  Solo  ,Drama  ",
         "bad line without commas",
     ])
     got = {r.movie_id: (r.title, r.genres) for r in read_movies(spark, p).collect()}
-    assert got == {1043: ("Toy Story (1995)", "Animation|Children"),
-                   7: ("Crouching Tiger, Hidden Dragon (2000)", "Action"),
+    assert got == {31: ("Paper Lantern (2011)", "Family|Fantasy"),
+                   7: ("Slow River, Quiet Field (2004)", "Action"),
                    9: ("Solo", "Drama")}
 
 
@@ -108,3 +117,24 @@ def test_duplicate_dimension_key_last_line_wins(spark, scratch):
     users = dedupe_dimension(read_dimension(spark, _write(os.path.join(scratch, "u.txt"), ["7,M,30,1,x", "7,F,31,2,y"]),
                                             schemas.USERS, line_order=True), "user_id", "line_no")
     assert [(r.user_id, r.gender) for r in users.collect()] == [(7, "F")]
+
+
+def test_last_line_wins_over_files_in_the_given_order(spark, scratch):
+    from critiq.operators import dedupe_dimension
+
+    # the later file is the larger one, then the smaller one: the scan's own order must not matter
+    small = _write(os.path.join(scratch, "b_small.txt"), ["1,Small,Drama", "2,Kept,Drama"])
+    large = _write(os.path.join(scratch, "a_large.txt"), ["1,Large,Drama"] + [f"{i},Filler {i},Comedy"
+                                                                            for i in range(100, 4000)])
+    for paths, title in (([small, large], "Large"), ([large, small], "Small")):
+        movies = dedupe_dimension(read_movies(spark, paths, line_order=True), "movie_id", "line_no")
+        got = {r.movie_id: r.title for r in movies.where("movie_id < 100").collect()}
+        assert got == {1: title, 2: "Kept"}
+
+
+def test_dedupe_ties_are_decided_by_the_other_columns(spark):
+    from critiq.operators import dedupe_dimension
+
+    rows = [(1, 5, "b"), (1, 5, "c"), (1, 4, "z"), (2, 1, None), (2, 1, "a")]
+    got = dedupe_dimension(spark.createDataFrame(rows, "k int, o int, v string"), "k", "o")
+    assert sorted((r.k, r.v) for r in got.collect()) == [(1, "c"), (2, "a")]
