@@ -43,6 +43,11 @@ def build_session(master: str | None = None, partitions: int | None = None,
     return spark
 
 
+def _in_one_process(master: str) -> bool:
+    """Do the executors of this master live in the driver's own process (``local``, ``local[...]``)?"""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the folder used by ``DataFrame.checkpoint``.
 
@@ -62,7 +67,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
-        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        if not _in_one_process(sc.master):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (e.g. on HDFS or an object store)")
         configured = tempfile.mkdtemp(prefix="critiq-ckpt-")
     sc.setCheckpointDir(configured)
@@ -81,6 +86,22 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python tasks of a local session, wherever the driver found it.
+
+    The package folder is added to the session's files, which are on the
+    import path of its Python workers. On a cluster the package comes with
+    the job, as usual (``--py-files`` or an installed package).
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext handle (Spark Connect)
+        return
+    folder = os.path.dirname(os.path.abspath(__file__))
+    if _in_one_process(sc.master) and not any(f.rstrip("/").endswith(folder) for f in sc.listFiles):
+        sc.addFile(folder, recursive=True)
+
+
 _MIB = 1024 * 1024
 
 
