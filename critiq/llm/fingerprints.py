@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -143,11 +144,20 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, fingerprint string")
 
 
+def _least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The least value of the partition's one column, if it has rows."""
+    least = [pc.min(batch.column(0)) for batch in batches if batch.num_rows]
+    if least:
+        value = min(v.as_py() for v in least)
+        yield pa.RecordBatch.from_arrays([pa.array([value], least[0].type)], names=["doc_id"])
+
+
 def _in_parts(docs: DataFrame, parts: int) -> DataFrame:
     """doc_id, text, _part, _guard: parts of the id order, each with the start of the next one as guard rows."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
     ids = docs.select("doc_id").where(F.col("doc_id").isNotNull()).repartitionByRange(parts, "doc_id")
     # one id per part: bounded by ``parts``
-    bounds = sorted(r[0] for r in ids.groupBy(F.spark_partition_id()).agg(F.min("doc_id")).collect())
+    bounds = sorted(r[0] for r in ids.mapInArrow(_least, f"doc_id {kind}").collect())
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,7 +171,6 @@ def _in_parts(docs: DataFrame, parts: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(part, pa.int32()), pa.array(guard, pa.bool_())],
                                              names=["doc_id", "text", "_part", "_guard"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(deal, f"doc_id {kind}, text string, _part int, _guard boolean")
 
 
