@@ -29,17 +29,18 @@ def _strip_ids(text: str) -> str:
 
 def summarise(text: str) -> dict:
     lines = text.splitlines()
-    shuffles, combined = [], 0
+    shuffles, combined, reused = [], 0, 0
     for i, line in enumerate(lines):
         m = re.search(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)(?:\((.*)\))?", line)
-        if not m or "BroadcastExchange" in line or "ReusedExchange" in line:
+        if not m or "BroadcastExchange" in line:
             continue
         kind, args = m.group(1), _strip_ids(m.group(2) or "")
         keys = ", ".join(a.strip() for a in args.split(",")[:-1]) if kind != "SinglePartition" else ""
         label = {"hashpartitioning": "hash", "rangepartitioning": "range", "SinglePartition": "single"}[kind]
         label = f"{label}({keys})" if keys else label
-        if label in shuffles:
-            continue            # the same exchange over the same input: reused at run time
+        if "ReusedExchange" in line:    # only what the plan itself marks as reused is not counted again
+            reused += 1
+            continue
         shuffles.append(label)
         if i + 1 < len(lines) and "HashAggregate" in lines[i + 1]:
             combined += 1
@@ -47,6 +48,8 @@ def summarise(text: str) -> dict:
     return {
         "shuffles": shuffles,
         "combined": combined,
+        "reused": reused,
+        "nested": text.count("NestedLoopJoin") + text.count("CartesianProduct"),
         "bhj": text.count("BroadcastHashJoin"),
         "smj": text.count("SortMergeJoin"),
         "group_limit": "WindowGroupLimit" in text,
@@ -58,24 +61,23 @@ def summarise(text: str) -> dict:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from critiq.session import build_session
-    import __spark_entry__ as E
+    from critiq.plans import catalog
 
     spark = build_session("local[8]", 8)
     print("# Physical plans of the registered queries\n")
     print(f"Generated by `tools/plan_summary.py` on `{sf_dir}` (optimized plans before execution; AQE may")
-    print("still turn a sort-merge join into a broadcast at run time). Shuffles list the distinct exchanges")
-    print("with their keys; an exchange that appears twice over the same input is reused and listed once.")
+    print("still turn a sort-merge join into a broadcast at run time). Shuffles list every exchange with its")
+    print("keys; only an exchange that the plan marks as reused is counted apart.")
     print("`single` is a one-partition exchange that only carries one partial row per map partition (global")
     print("aggregates, scalars). \"Combined map-side\" counts exchanges fed by a partial hash aggregate.")
-    print("The `hash(l_orderkey, l_linenumber)` and `hash(doc_id)` exchanges are `spread` of the")
-    print("single-row-group test tables; a large input has more splits than cores and skips them.\n")
-    print("| query | shuffles (distinct exchanges and their keys) | combined map-side | broadcast joins | "
-          "sort-merge joins | partial top-k | scalar subqueries | scans (columns read) |")
-    print("| --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in sorted(E.queries().items()):
+    print()
+    print("| query | shuffles (exchanges and their keys) | reused | combined map-side | broadcast joins | "
+          "sort-merge joins | nested-loop or cross joins | partial top-k | scalar subqueries | scans (columns read) |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
+    for name, fn in sorted(catalog.queries().items()):
         s = summarise(plan_text(fn(spark, sf_dir)))
-        print(f"| `{name}` | {len(s['shuffles'])}: {', '.join(s['shuffles']) or '-'} | {s['combined']} | {s['bhj']} | "
-              f"{s['smj']} | {'yes' if s['group_limit'] else '-'} | {s['subquery']} | "
+        print(f"| `{name}` | {len(s['shuffles'])}: {', '.join(s['shuffles']) or '-'} | {s['reused']} | {s['combined']} | {s['bhj']} | "
+              f"{s['smj']} | {s['nested']} | {'yes' if s['group_limit'] else '-'} | {s['subquery']} | "
               f"{', '.join(s['scans']) or 'checkpointed input'} |")
     spark.stop()
 
