@@ -14,10 +14,12 @@ Encoding. A pre-split word is read once, left to right. At every place
 exactly one arc label ends that continues an accepted path; the word's
 tokens are the labels of the path to its end. Decoding emits arc labels.
 
-Words recur, so finished words and whitespace-free chunks are kept in
-tables of bounded size (``TABLE_SIZE`` entries each; a full table is
-emptied). Texts are read whole, in slices cut at blanks, so working memory
-stays bounded for very long texts.
+Words recur, so finished words are kept in a table of bounded size
+(``TABLE_SIZE`` entries; a full table is emptied). Texts are read whole, in
+slices cut at blanks, some megabytes at a time, so working memory stays
+bounded for very long texts. Their distinct words are looked up; unseen ones
+are read together, place by place, as numpy look-ups in the arc and label
+tables.
 
 The text rules (normalising, splitting, special tokens, byte symbols) are
 those of the given tokenizer file; other kinds of file are refused.
@@ -31,41 +33,158 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
-from collections.abc import Callable, Iterable, Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-TABLE_SIZE = 400_000
+TABLE_SIZE = 1_000_000
 SLICE_CHARS = 1 << 18
 _NEVER = 1 << 60
-# characters that Python's split() takes for blanks and the tokenizer for symbols
-_ODD_BLANKS = regex.compile("[\x1c-\x1f]")
-_BLANKS = regex.compile(r"\p{White_Space}+")
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+GROUP_CHARS = 8 << 20
+WORD_SYMBOLS = 48  # longer words are read one by one
+_ODD_BLANKS = regex.compile(r"[^\P{White_Space} \n]")  # any blank but space and line feed
+# what stands alone between letters in Latin text without apostrophes: one digit, or a run of other signs
+_WORD_ENDS = r"(\p{N}|[^ \n\p{L}\p{N}]+)"
 _BEYOND_LATIN = regex.compile("[^\x00-\u024f]")
 _ASCII_BLANK = regex.compile(r"[ \n]")
 
 
 class Automaton:
-    """States and arcs over token ids. State ``t`` is the state behind an arc labelled ``t``."""
+    """States and arcs over token ids. State ``t`` is the state behind an arc labelled ``t``.
+
+    Labels are found from their last symbol backwards: ``inner`` (labels
+    inside a word) and ``final`` (labels at its end) hold every ending of a
+    label, with the token it is itself, or -1.
+    """
 
     def __init__(self, vocab: dict[str, int], merges: Iterable[tuple[str, str]], end: str):
-        self.ids = vocab
-        self.labels = {i: t for t, i in vocab.items()}
         self.cuts: dict[int, dict[int, int]] = {}
         self.copies: dict[int, tuple[int, int]] = {}
         self.starts: dict[int, tuple[int, int]] = {}
         self.arcs: dict[int, bool] = {}
         for version, (a, b) in enumerate(merges):
             self.add_gadget(vocab[a], vocab[b], vocab[a + b], version)
-        self.lengths = {i: len(t) for t, i in vocab.items()}
-        self.prefixes: dict[str, int] = {}
-        # ends of labels without and with the word end: no longer text can be the end of a label
-        self.tails = {t[k:] for t in vocab if not t.endswith(end) for k in range(len(t))}
-        self.end_tails = {t[k:-len(end)] for t in vocab if t.endswith(end) for k in range(len(t) - len(end))}
+        self.labels = [""] * (max(vocab.values(), default=-1) + 1)
+        self.lengths = [0] * len(self.labels)
+        self.inner: dict[str, int] = {}
+        self.final: dict[str, int] = {}
+        for text, token in vocab.items():
+            self.labels[token] = text
+            at_end = text.endswith(end)
+            symbols, endings = (text[:-len(end)], self.final) if at_end else (text, self.inner)
+            self.lengths[token] = len(symbols)
+            for k in range(1, len(symbols)):
+                endings.setdefault(symbols[k:], -1)
+            endings[symbols] = token
+        self._tabulate()
+
+    def _tabulate(self) -> None:
+        """The trees of reversed labels as arrays: an open-addressed edge table, and the token of each node.
+
+        Node 0 is the root of the labels inside a word, node 1 of those at its end.
+        """
+        edges: dict[int, int] = {}
+        tokens = [-1, -1]
+        for root, endings in enumerate((self.inner, self.final)):
+            for text, token in endings.items():
+                if token < 0:
+                    continue
+                node = root
+                for c in reversed(text):
+                    key = node << 9 | ord(c)
+                    node = edges.setdefault(key, len(tokens))
+                    if node == len(tokens):
+                        tokens.append(-1)
+                tokens[node] = token
+        bits = max(4, (2 * len(edges)).bit_length())
+        self.slot_shift, mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.slot_keys = np.full((1 << bits) + 64, -1, np.int64)  # room for the last run
+        self.slot_nodes = np.zeros(len(self.slot_keys), np.int32)
+        for key, node in edges.items():
+            slot = (key * int(_SPREAD) & 0xFFFFFFFFFFFFFFFF) >> (64 - bits) & mask
+            while self.slot_keys[slot] >= 0:
+                slot += 1
+            self.slot_keys[slot], self.slot_nodes[slot] = key, node
+        self.node_tokens = np.array(tokens, np.int32)
+        self.token_lengths = np.array(self.lengths, np.int32)
+
+    def _step(self, nodes: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """The node below each node by its symbol; -1 where there is none."""
+        keys = (nodes.astype(np.int64) << 9) | symbols
+        slots = ((keys.astype(np.uint64) * _SPREAD) >> self.slot_shift).astype(np.int64)
+        found = self.slot_keys[slots]
+        out = np.where(found == keys, self.slot_nodes[slots], -1)
+        open_ = np.flatnonzero((found != keys) & (found >= 0))
+        while len(open_):
+            slots[open_] += 1
+            found = self.slot_keys[slots[open_]]
+            hit = found == keys[open_]
+            out[open_[hit]] = self.slot_nodes[slots[open_[hit]]]
+            open_ = open_[~hit & (found >= 0)]
+        return out
+
+    def _leave(self, states: np.ndarray, labels: np.ndarray) -> np.ndarray:
+        """Which arcs (state, label) exist."""
+        pairs, place = np.unique(states.astype(np.int64) << 20 | labels, return_inverse=True)
+        known = list(map(self.arcs.get, pairs.tolist()))
+        if None in known:
+            known = [self.arc(p >> 20, p & 0xFFFFF) if k is None else k for p, k in zip(pairs.tolist(), known)]
+        return np.array(known, bool)[place]
+
+    def read_all(self, words: list[str]) -> list[bytes]:
+        """Packed token ids of each of many words, all read in step, place by place."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        order = np.argsort(-sizes, kind="stable")
+        sizes, top = sizes[order], int(sizes.max(initial=0))
+        symbols = np.zeros((len(words), top), np.int64)
+        text = "".join([words[i] for i in order])
+        symbols[np.arange(top) < sizes[:, None]] = np.frombuffer(text.encode("utf-16-le"), np.uint16)
+        symbols = np.ascontiguousarray(symbols.T)
+        path = np.zeros((top + 1, len(words)), np.int32)
+        for i in range(1, top + 1):
+            at = np.arange(np.searchsorted(-sizes, -i, "right"))  # words of at least i symbols
+            node = (sizes[at] == i).astype(np.int32)
+            found = []
+            for j in range(i - 1, -1, -1):
+                node = self._step(node, symbols[j][at])
+                alive = node >= 0
+                at, node = at[alive], node[alive]
+                if not len(at):
+                    break
+                token = self.node_tokens[node]
+                label = token >= 0
+                found.append((j, at[label], token[label]))
+            for j, at, token in reversed(found):
+                fresh = path[i][at] == 0
+                at, token = at[fresh], token[fresh]
+                if j and len(at):
+                    leaves = self._leave(path[j][at] - 1, token)
+                    at, token = at[leaves], token[leaves]
+                path[i][at] = token + 1
+        at, left, owners, tokens = np.arange(len(words)), sizes.copy(), [], []
+        while len(at):
+            token = path[left[at], at] - 1
+            if (token < 0).any():
+                raise ValueError("the vocabulary lacks a symbol of a word")
+            owners.append(order[at])
+            tokens.append(token)
+            left[at] -= self.token_lengths[token]
+            at = at[left[at] > 0]
+        # the steps run from the last token of each word to its first
+        owner = np.concatenate([np.zeros(0, np.int64), *owners[::-1]])
+        packed = np.concatenate([np.zeros(0, np.int32), *tokens[::-1]])[np.argsort(owner, kind="stable")]
+        ends = 4 * np.cumsum(np.bincount(owner, minlength=len(words)))
+        data = packed.astype(np.uint32).tobytes()
+        return [data[i:j] for i, j in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
     def add_gadget(self, a: int, b: int, ab: int, version: int) -> None:
         self.cuts.setdefault(a, {})[b] = version
@@ -99,45 +218,32 @@ class Automaton:
                 return True
             at, until = self.copies[at]
 
-    def read(self, word: str, end: str) -> list[int]:
-        """Token ids of one word of base symbols; ``end`` marks the last symbol.
-
-        ``prefixes`` keeps the label that ends each prefix read before, so a
-        word that shares its beginning with another is read from there on.
-        """
-        known, n = self.prefixes, len(word)
-        if len(known) > 2 * TABLE_SIZE:
-            known.clear()
-        i = n - 1
-        while i > 0 and word[:i] not in known:
-            i -= 1
-        for i in range(i + 1, n):
-            known[word[:i]] = self._ending(word, i, self.tails, "")
-        token = self._ending(word, n, self.end_tails, end)
-        out, i = [token], n + len(end) - self.lengths[token]
+    def read(self, word: str) -> list[int]:
+        """Token ids of one word of base symbols."""
+        n = len(word)
+        path = [-1] * (n + 1)  # the label that ends at each place
+        for i in range(1, n + 1):
+            path[i] = self._ending(word, i, path, self.final if i == n else self.inner)
+        out, i = [], n
         while i > 0:
-            token = known[word[:i]]
-            out.append(token)
-            i -= self.lengths[token]
+            out.append(path[i])
+            i -= self.lengths[path[i]]
         return out[::-1]
 
-    def _ending(self, word: str, i: int, tails: set[str], end: str) -> int:
+    def _ending(self, word: str, i: int, path: list[int], endings: dict[str, int]) -> int:
         """The one label that ends at place ``i`` on an accepted path."""
-        j = i - 1
-        while j > 0 and word[j - 1:i] in tails:
-            j -= 1
-        ids, arcs, known = self.ids, self.arcs, self.prefixes
-        for j in range(j, i):
-            label = ids.get(word[j:i] + end)
+        found, j = [], i
+        while j > 0:
+            label = endings.get(word[j - 1:i])
             if label is None:
-                continue
-            if j == 0:
-                return label
-            state = known[word[:j]]
-            open_arc = arcs.get(state << 20 | label)
-            if self.arc(state, label) if open_arc is None else open_arc:
+                break
+            j -= 1
+            if label >= 0:
+                found.append((j, label))
+        for j, label in reversed(found):
+            if j == 0 or self.arc(path[j], label):
                 return label
-        raise ValueError(f"the vocabulary has no symbols for {word!r}")
+        raise ValueError(f"the vocabulary lacks a symbol of {word[:40]!r}")
 
 
 def byte_symbols() -> dict[int, str]:
@@ -147,10 +253,42 @@ def byte_symbols() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+@dataclass
+class Encoded:
+    """Token ids of some consecutive slices of texts: slice ``k`` belongs to text ``owners[k]``."""
+
+    owners: list[int]
+    ids: np.ndarray
+    offsets: np.ndarray
+
+    def parts(self) -> Iterator[tuple[int, np.ndarray]]:
+        for k, owner in enumerate(self.owners):
+            yield owner, self.ids[self.offsets[k]:self.offsets[k + 1]]
+
+    def joined(self, strings: pa.Array) -> list[str]:
+        """Per slice the ``strings`` of its ids, joined by blanks."""
+        lists = pa.LargeListArray.from_arrays(pa.array(self.offsets, pa.int64()), strings.take(pa.array(self.ids)))
+        return pc.binary_join(lists, pa.scalar(" ", pa.large_string())).to_pylist()
+
+
+def _distinct(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct parts between blanks, the place of each part among them, and where each text's parts start."""
+    lists = pc.split_pattern(texts, " ")
+    flat = lists.flatten().dictionary_encode()
+    return (flat.dictionary, flat.indices.to_numpy().astype(np.int64), lists.offsets.to_numpy().astype(np.int64))
+
+
+def _gathered(values: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``values`` (``sizes`` long, one after another) in the order of ``codes``, and where each run ends up."""
+    counts = sizes[codes]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    return values[np.repeat((np.cumsum(sizes) - sizes)[codes] - ends[:-1], counts) + np.arange(ends[-1])], ends
+
+
 class Encoder:
-    """Whole texts to token ids; ``render`` turns the ids of a chunk into the value that is kept for it."""
+    """Whole texts to token ids by the rules of one tokenizer file."""
 
-    def __init__(self, path: str, render: Callable[[Automaton, list[int]], object]):
+    def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         kinds = [x["type"] for x in spec["normalizer"]["normalizers"]]
@@ -159,42 +297,42 @@ class Encoder:
             raise ValueError("not a lower-casing word BPE file")
         model = spec["model"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.end = model["end_of_word_suffix"]
-        self.automaton = Automaton(model["vocab"], merges, self.end)
-        rules = Tokenizer.from_file(path)
-        self.normalizer, self.pre_tokenizer = rules.normalizer, rules.pre_tokenizer
+        self.automaton = Automaton(model["vocab"], merges, model["end_of_word_suffix"])
+        self.rules = Tokenizer.from_file(path)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.automaton.labels.update({i: t for t, i in self.special.items()})
+        labels = [*self.automaton.labels]
+        labels += [""] * (max(self.special.values(), default=-1) + 1 - len(labels))
+        for text, token in self.special.items():
+            labels[token] = text
+        self.labels = pa.array(labels, pa.large_string())
+        self.numbers = pa.array([str(i) for i in range(len(labels))], pa.large_string())
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.symbols = byte_symbols()
-        self.render = render
-        self.word_table: dict[str, tuple[int, ...]] = {}
-        self.chunk_table: dict[str, object] = {}
-
-    def _word(self, word: str) -> tuple[int, ...]:
-        """Ids of a word of byte symbols."""
-        ids = self.word_table.get(word)
-        if ids is None:
-            if len(self.word_table) >= TABLE_SIZE:
-                self.word_table.clear()
-            ids = self.word_table[word] = tuple(self.automaton.read(word, self.end))
-        return ids
-
-    def _chunk(self, chunk: str) -> object:
-        """Rendered ids of a normalised text, usually one without blanks."""
-        if len(self.chunk_table) >= TABLE_SIZE:
-            self.chunk_table.clear()
-        if _BEYOND_LATIN.search(chunk):
-            words = [w for w, _ in self.pre_tokenizer.pre_tokenize_str(chunk)]
-        else:
-            words = [w if w.isalpha() and w.isascii() else w.encode("utf-8").decode("latin-1").translate(self.symbols)
-                     for w in self.words.findall(chunk)]
-        ids = [i for w in words for i in self._word(w)]
-        value = self.render(self.automaton, ids)
-        if len(chunk) <= 64:
-            self.chunk_table[chunk] = value
-        return value
+        self.table: dict[str, bytes] = {"": b""}
+
+    def _read(self, words: list[str]) -> list[bytes]:
+        """Packed token ids of each word."""
+        symbols = [w if w.isascii() and w.isprintable() else
+                   w.encode("utf-8").decode("latin-1").translate(self.symbols) for w in words]
+        short = [w for w in symbols if len(w) <= WORD_SYMBOLS]
+        found = iter(self.automaton.read_all(short))
+        return [next(found) if len(w) <= WORD_SYMBOLS else array("I", self.automaton.read(w)).tobytes()
+                for w in symbols]
+
+    def _values(self, words: list[str]) -> list[bytes]:
+        """Packed token ids of distinct words; unseen ones are read together."""
+        table = self.table
+        if len(table) >= TABLE_SIZE:
+            table.clear()
+        found = list(map(table.get, words))
+        unseen = [w for w, v in zip(words, found) if v is None]
+        if not unseen:
+            return found
+        fresh = dict(zip(unseen, self._read(unseen)))
+        table.update((w, v) for w, v in fresh.items() if len(w) <= 64)
+        table[""] = b""  # between neighbouring blanks
+        return [fresh[w] if v is None else v for w, v in zip(words, found)]
 
     def _slices(self, text: str) -> Iterator[str]:
         start = 0
@@ -206,47 +344,104 @@ class Encoder:
             start = blank.start()
         yield text[start:]
 
-    def encode(self, text: str) -> Iterator[list[object]]:
-        """Rendered chunks of a whole text, one list per slice."""
+    def _pieces(self, text: str) -> Iterator[tuple[str, int | None]]:
+        """Normalised slices; with -1 if only blanks still part its words, with the id of a special token if it is one."""
         parts = self.split_special.split(text) if "<|" in text else [text]
         for part in parts:
             if part in self.special:
-                yield [self.render(self.automaton, [self.special[part]])]
+                yield "", self.special[part]
                 continue
             for piece in self._slices(part):
                 # Latin text by Python's own rules, all other by the file's (they may follow another Unicode version)
                 if _BEYOND_LATIN.search(piece):
-                    low = self.normalizer.normalize_str(piece)
-                    chunks = low.split(" ")
+                    low = self.rules.normalizer.normalize_str(piece)
+                    yield " ".join([low[i:j] for _, (i, j) in self.rules.pre_tokenizer.pre_tokenize_str(low)]), -1
+                    continue
+                low = unicodedata.normalize("NFC", piece).lower()
+                if "'" in low or _ODD_BLANKS.search(low):
+                    yield " ".join(self.words.findall(low)), -1
                 else:
-                    low = unicodedata.normalize("NFC", piece).lower()
-                    chunks = _BLANKS.split(low) if _ODD_BLANKS.search(low) else low.split()
-                get = self.chunk_table.get
-                out = []
-                for c in chunks:
-                    value = get(c)
-                    out.append(self._chunk(c) if value is None else value)
-                yield out
-
-
-def _digest_render(automaton: Automaton, ids: list[int]) -> tuple[int, str, str]:
-    return len(ids), " ".join(map(str, ids)), " ".join(automaton.labels[i] for i in ids)
-
-
-def _digests(encoder: Encoder, text: str) -> tuple[int, str, str]:
-    """n_tokens, SHA-256 of the ids, SHA-256 of the decoded text."""
-    n, ids, labels = 0, hashlib.sha256(), hashlib.sha256()
-    for chunks in encoder.encode(text):
-        chunks = [c for c in chunks if c[0]]
-        if not chunks:
-            continue
-        if n:
-            ids.update(b" ")
-            labels.update(b" ")
-        n += sum(c[0] for c in chunks)
-        ids.update(" ".join([c[1] for c in chunks]).encode())
-        labels.update(" ".join([c[2] for c in chunks]).encode())
-    return n, ids.hexdigest(), labels.hexdigest()
+                    yield low.replace("\n", " "), None
+
+    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their offsets of slices: distinct chunks between blanks are parted into words by ``_WORD_ENDS``."""
+        chunks, codes, starts = _distinct(pa.array(texts, pa.large_string()))
+        ids, offsets = self._ready(pc.replace_substring_regex(chunks, _WORD_ENDS, r" \1 "))
+        ids, ends = _gathered(ids, np.diff(offsets), codes)
+        return ids, ends[starts]
+
+    def _ready(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their offsets of texts whose words are parted by blanks."""
+        words, codes, starts = _distinct(texts)
+        values = self._values(words.to_pylist())
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        ids, ends = _gathered(np.frombuffer(b"".join(values), np.uint32), sizes, codes)
+        return ids, ends[starts]
+
+    def _encoded(self, owners: list[int], texts: list[str], marks: dict[int, int]) -> Encoded:
+        """One group of slices, each in its place."""
+        parts: list[np.ndarray] = [np.array([marks[k]], np.uint32) if marks.get(k, -1) >= 0 else None
+                                   for k in range(len(texts))]
+        plain = [k for k in range(len(texts)) if k not in marks]
+        ready = [k for k, mark in marks.items() if mark < 0]
+        for places, (ids, offsets) in ((plain, self._plain([texts[k] for k in plain])),
+                                       (ready, self._ready(pa.array([texts[k] for k in ready], pa.large_string())))):
+            for i, k in enumerate(places):
+                parts[k] = ids[offsets[i]:offsets[i + 1]]
+        offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)])
+        return Encoded(owners, np.concatenate(parts), offsets)
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[Encoded]:
+        """Token ids of whole texts, in order, some ``GROUP_CHARS`` characters at a time."""
+        owners, group, marks, size = [], [], {}, 0
+        for i, text in enumerate(texts):
+            for piece, mark in self._pieces(text or ""):
+                if mark is not None:
+                    marks[len(group)] = mark
+                owners.append(i)
+                group.append(piece)
+                size += len(piece) + 1
+                if size >= GROUP_CHARS:
+                    yield self._encoded(owners, group, marks)
+                    owners, group, marks, size = [], [], {}, 0
+        if group:
+            yield self._encoded(owners, group, marks)
+
+
+class _Digest:
+    """Number of tokens, SHA-256 of the ids and of the decoded text, fed slice by slice."""
+
+    def __init__(self):
+        self.n, self.ids, self.labels = 0, hashlib.sha256(), hashlib.sha256()
+
+    def add(self, n: int, ids: str, labels: str) -> None:
+        if not n:
+            return
+        if self.n:
+            self.ids.update(b" ")
+            self.labels.update(b" ")
+        self.n += n
+        self.ids.update(ids.encode())
+        self.labels.update(labels.encode())
+
+
+def digests(encoder: Encoder, texts: list[str | None]) -> list[tuple[int, str, str]]:
+    """n_tokens, ids_sha256, decoded_sha256 of each text; decoding emits the arc labels of the ids."""
+    found = [_Digest() for _ in texts]
+    for e in encoder.encode_all(texts):
+        for owner, n, ids, labels in zip(e.owners, np.diff(e.offsets).tolist(), e.joined(encoder.numbers),
+                                         e.joined(encoder.labels)):
+            found[owner].add(n, ids, labels)
+    return [(d.n, d.ids.hexdigest(), d.labels.hexdigest()) for d in found]
+
+
+def token_arrays(encoder: Encoder, texts: list[str | None]) -> list[np.ndarray]:
+    """The token ids (uint32) of each text."""
+    parts: list[list[np.ndarray]] = [[] for _ in texts]
+    for e in encoder.encode_all(texts):
+        for owner, ids in e.parts():
+            parts[owner].append(ids)
+    return [p[0] if len(p) == 1 else np.concatenate([np.zeros(0, np.uint32), *p]) for p in parts]
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
@@ -258,11 +453,11 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer_path, _digest_render)
-            found = [_digests(encoder, t.as_py() or "") for t in batch.column(1)]
+            encoder = encoder or Encoder(tokenizer_path)
+            found = digests(encoder, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found]),
-                 pa.array([f[2] for f in found])],
+                [batch.column(0), pa.array([f[0] for f in found], pa.int64()),
+                 pa.array([f[1] for f in found], pa.string()), pa.array([f[2] for f in found], pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -276,10 +471,11 @@ def tokenize_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer_path, lambda _, ids: ids)
-            ids = [[i for part in encoder.encode(t.as_py() or "") for c in part for i in c] for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))],
-                                             names=["doc_id", "token_ids"])
+            encoder = encoder or Encoder(tokenizer_path)
+            ids = token_arrays(encoder, batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32()))],
+                names=["doc_id", "token_ids"])
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
@@ -288,5 +484,5 @@ def tokenize_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_
 
 def decode(tokenizer_path: str, ids: Iterable[int]) -> str:
     """The text of a token id sequence: its arc labels, joined by blanks."""
-    labels = Encoder(tokenizer_path, _digest_render).automaton.labels
-    return " ".join(labels[i] for i in ids)
+    labels = Encoder(tokenizer_path).labels
+    return " ".join(labels[i].as_py() for i in ids)

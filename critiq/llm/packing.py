@@ -10,7 +10,7 @@ if they fill it better. A group leaves about one open bin, so the groups
 cost about one sequence in several thousand pieces.
 
 The ids are those of the tokenizers library; they come from the automaton of
-``bpe`` (equal ids, several times less time on recurring words).
+``bpe``, which gives equal ids in a fraction of the time.
 
 Defined cases: NULL or empty text is the end id alone; repeated rows are
 packed each; NULL ids are kept; an empty table gives an empty result.
@@ -19,7 +19,6 @@ packed each; NULL ids are kept; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
-from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -28,28 +27,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from critiq.llm.bpe import Encoder
+from critiq.llm.bpe import Encoder, token_arrays
 
 SEQUENCE = 2048
 END_ID = 0
 GROUP_DOCS = 8192
 
 
-def _packed_ids(_, ids: list[int]) -> bytes:
-    return array("I", ids).tobytes()
-
-
 def token_pieces(docs: DataFrame, tokenizer_path: str, limit: int = SEQUENCE, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: the cut token sequences of every document (no shuffle)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer_path, _packed_ids)
+            encoder = encoder or Encoder(tokenizer_path)
             rows = []
-            for i, text in enumerate(batch.column(1)):
-                ids = b"".join([c for part in encoder.encode(text.as_py() or "") for c in part])
-                ids += array("I", [END_ID]).tobytes()
+            for i, tokens in enumerate(token_arrays(encoder, batch.column(1).to_pylist())):
+                ids = tokens.astype("<u4").tobytes() + END_ID.to_bytes(4, "little")
                 for k, at in enumerate(range(0, len(ids), 4 * limit)):
                     piece = ids[at:at + 4 * limit]
                     rows.append((i, k, at // 4, len(piece) // 4, zlib.crc32(piece)))
