@@ -24,20 +24,23 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     edges = materialize(links.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
                         .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("hi") > F.col("lo"))).distinct())
-    before = None
-    while True:
+    now, before = _sums(edges), None
+    while now != before:
         both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
         least = materialize(both.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("m"))
                             .select("node", F.least("node", "m").alias("m")))
-        large = materialize(edges.join(least, edges["lo"] == least["node"])
-                            .select("hi", F.col("m").alias("lo")).distinct())
+        large = edges.join(least, edges["lo"] == least["node"]).select("hi", F.col("m").alias("lo")).distinct()
+        large = materialize(large)
         least = materialize(large.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("m")))
-        small = large.join(least, large["hi"] == least["node"])
-        moved = small.where(F.col("lo") > F.col("m")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        moved = (large.join(least, large["hi"] == least["node"]).where(F.col("lo") > F.col("m"))
+                 .select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
         edges = materialize(moved.unionByName(least.select(F.col("node").alias("hi"), F.col("m").alias("lo"))).distinct())
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if now == before:
-            heads = edges.select(F.col("lo").alias("node")).distinct()
-            return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(
-                heads.select("node", F.col("node").alias("component")))
-        before = now
+        now, before = _sums(edges), now
+    heads = edges.select(F.col("lo").alias("node")).distinct()
+    return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(
+        heads.select("node", F.col("node").alias("component")))
+
+
+def _sums(edges: DataFrame) -> tuple:
+    """Number and hash sum of the edges: equal before and after a round only if nothing moved."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
