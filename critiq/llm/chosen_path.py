@@ -7,8 +7,8 @@ similarity ``J`` share a path of depth ``d`` with probability ``J^d``, so
 ``TREES`` trees of first depth ``DEPTHS[0]`` miss a pair at the threshold
 with probability ``(1 - 0.8^4)^20``, about 3 in 100,000, and a more alike
 pair far more rarely. A node with at most ``LEAF`` documents is compared
-exhaustively. A larger one links its documents to one of them, drawn by a
-hash, and branches to the next depth, so its cost stays linear in its size.
+exhaustively. A larger one compares its documents with two of them, drawn by
+a hash, and branches to the next depth, so its cost stays linear in its size.
 
 Candidates are cut by set size and by a sketch whose estimate would have to
 be off by six standard errors to lose a link, and confirmed on full sets.
@@ -142,19 +142,21 @@ def _candidates(reps: DataFrame) -> DataFrame:
     """Distinct a < b of all documents that meet in a node, with a size ratio that allows a link."""
     keys = [f"k{i}" for i in range(len(DEPTHS))]
     rows = reps.select(F.struct(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n")).alias("d"),
-                       F.explode(F.arrays_zip(*keys)).alias("k")).select("d", "k.*")
+                       F.posexplode(F.arrays_zip(*keys)).alias("tree", "k")).select("d", "tree", "k.*")
     found = []
     for level, key in enumerate(keys):
-        drawn = F.min(F.struct(F.xxhash64("d.id", key).alias("h"), F.col("d"))).alias("_drawn")
-        nodes = materialize(rows.groupBy(key).agg(F.count(F.lit(1)).alias("size"), drawn).where("size > 1")
-                            .select(key, "size", F.col("_drawn.d").alias("center")))
+        # drawn once per tree: a center of a node is also that of each node below it that holds it
+        ranked = F.struct(F.xxhash64("d.id", "tree").alias("h"), F.col("d"))
+        drawn = [F.min(ranked).alias("_first"), F.max(ranked).alias("_last")]
+        nodes = materialize(rows.groupBy(key).agg(F.count(F.lit(1)).alias("size"), *drawn).where("size > 1")
+                            .select(key, "size", F.col("_first.d").alias("one"), F.col("_last.d").alias("two")))
         met = materialize(rows.join(nodes, key))
         small = met.where(F.col("size") <= LEAF).groupBy(key).agg(F.collect_list("d").alias("all"))  # at most LEAF
         found.append(small.select(F.col("all"), F.posexplode("all").alias("i", "x"))
                      .select("x", F.explode(F.slice("all", F.col("i") + 2, LEAF)).alias("y")).select(*_pair("x", "y")))
         large = met.where(F.col("size") > LEAF)
-        found.append(large.select(*_pair("d", "center")))
-        rows = large.select("d", *keys[level + 1:])
+        found += [large.select(*_pair("d", center)) for center in ("one", "two")]
+        rows = large.select("d", "tree", *keys[level + 1:])
         if level + 1 < len(keys) and rows.isEmpty():
             break
     pairs = found[0]
@@ -217,7 +219,9 @@ def near_groups(docs: DataFrame, size: int = 5, like: int = LIKE, id_col: str =
     left = left.join(groups.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
     apart = F.coalesce("ca", "a") != F.coalesce("cb", "b")
     rest = left.where(apart).join(first.select("a", "b"), ["a", "b"], "left_anti").select("a", "b")
-    links = links.unionByName(_confirm(rest, texts, size, like))
+    # the first groups are stars already
+    links = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(
+        _confirm(rest, texts, size, like))
     # rows of one doc_id with different texts are one document
     same = rows.join(heads, "set_key").where(F.col("doc_id") != F.col("rep")).select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b"))
