@@ -4,8 +4,8 @@ Base spans come from three patterns (see ``KINDS``). Besides them, every
 long token is scored by two first-order character Markov models, one of
 random strings and one of ordinary identifiers; a token whose mean
 log-likelihood ratio per transition exceeds a margin, and which touches no
-base span, is a ``markov`` span. The models are transition counts with
-additive smoothing, trained from labelled tokens: by default those of a
+base span, is a ``markov`` span. The models are transition counts, smoothed
+towards the rates of single characters, trained from labelled tokens: by default those of a
 bounded sample of documents (``SAMPLE_DOCS``), where base matches are the
 random strings and words the ordinary identifiers. Every document is scanned
 whole.
@@ -16,8 +16,8 @@ matches (``split``) and the matches themselves.
 
 Defined cases: NULL text is the empty text and has no spans; without
 labelled tokens of both classes the models add nothing; repeated rows are
-scanned each; an empty table gives an empty result. Working columns start
-with an underscore and are dropped; other columns are kept or ignored.
+scanned each; an empty table gives an empty result. ``redact`` keeps all other columns,
+whatever their names; the report does not read them.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from critiq.llm.columns import fresh_name
+
 # Kinds in order, their patterns, and the least length of the tested group.
 KINDS = ["assign", "access", "hex", "markov"]
 ASSIGN = (r"""(?=[pstaPSTA])(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -40,7 +42,7 @@ WORD = r"[A-Za-z][A-Za-z_]{3,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
 
 SAMPLE_DOCS = 10_000
-SMOOTHING = 0.5
+SMOOTHING = 5.0  # weight of the single-character rates in each transition's rate
 MARGIN = 0.7
 MASK = "[REDACTED]"
 
@@ -112,12 +114,18 @@ def train_models(samples: DataFrame, smoothing: float = SMOOTHING) -> list[float
         .alias("p")).where("p.a > 0 and p.b > 0")
     counts = pairs.groupBy("label", "p.a", "p.b").agg(F.count(F.lit(1)).alias("n")).collect()
     k = len(ALPHABET)
-    seen = [[[smoothing] * k for _ in range(k)] for _ in range(2)]
-    for r in counts:
-        seen[int(r["label"] == 1)][r["a"] - 1][r["b"] - 1] += r["n"]
     if len({r["label"] for r in counts}) < 2:
         return [0.0] * (k * k)
-    ordinary, random = ([[math.log(n / sum(row)) for n in row] for row in table] for table in seen)
+    seen = [[[0] * k for _ in range(k)] for _ in range(2)]
+    for r in counts:
+        seen[int(r["label"] == 1)][r["a"] - 1][r["b"] - 1] += r["n"]
+
+    def log_rates(table: list[list[int]]) -> list[list[float]]:
+        total = sum(map(sum, table))
+        alone = [(sum(row[j] for row in table) + 0.5) / (total + 0.5 * k) for j in range(k)]
+        return [[math.log((row[j] + smoothing * alone[j]) / (sum(row) + smoothing)) for j in range(k)] for row in table]
+
+    ordinary, random = map(log_rates, seen)
     return [random[i][j] - ordinary[i][j] for i in range(k) for j in range(k)]
 
 
@@ -138,11 +146,12 @@ def all_spans(text: Column, base: Column, ratios: list[float], margin: float = M
     return F.array_sort(F.concat(base, added))
 
 
-def scan(docs: DataFrame, ratios: list[float], text_col: str = "text", margin: float = MARGIN) -> DataFrame:
-    """``docs`` with ``base_spans`` and ``spans`` (arrays of start, kind, end, token)."""
+def scan(docs: DataFrame, ratios: list[float], text_col: str = "text", margin: float = MARGIN,
+         base_col: str = "base_spans", spans_col: str = "spans") -> DataFrame:
+    """``docs`` with ``base_col`` and ``spans_col`` (arrays of start, kind, end, token)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    based = docs.withColumn("base_spans", F.array_sort(base_spans(text)))
-    return based.withColumn("spans", all_spans(text, F.col("base_spans"), ratios, margin))
+    based = docs.withColumn(base_col, F.array_sort(base_spans(text)))
+    return based.withColumn(spans_col, all_spans(text, F.col(base_col), ratios, margin))
 
 
 def spans_text(spans: Column) -> Column:
@@ -173,7 +182,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask
     NULL text stays NULL; texts without spans are unchanged.
     """
     ratios = train_models(labelled_tokens(docs, sample_docs, id_col, text_col))
-    scanned = scan(docs.drop("base_spans", "spans"), ratios, text_col)
+    base, spans = fresh_name(docs, "_base_spans"), fresh_name(docs, "_spans")
+    scanned = scan(docs, ratios, text_col, MARGIN, base, spans)
     text = F.col(text_col)
 
     def step(acc: Column, s: Column) -> Column:
@@ -182,7 +192,6 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.otherwise(acc["out"]).alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    masked = F.aggregate("spans", start, step, lambda a: F.concat(
+    masked = F.aggregate(spans, start, step, lambda a: F.concat(
         a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    return (scanned.withColumn(text_col, F.when(F.size("spans") > 0, masked).otherwise(text))
-            .drop("base_spans", "spans"))
+    return scanned.withColumn(text_col, F.when(F.size(spans) > 0, masked).otherwise(text)).select(*docs.columns)
