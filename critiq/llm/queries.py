@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from critiq.llm import bpe, chosen_path, fingerprints, line_dedup, packing, pivot_topk, quality, secret_scan, shards, suffix_dedup
+from critiq.session import ship_package
 
 
 TOKENIZER = "word_bpe_49k.json"
@@ -19,6 +20,7 @@ def _tokenizer_path() -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
