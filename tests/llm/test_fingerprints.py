@@ -1,0 +1,66 @@
+import hashlib
+
+import numpy as np
+import pytest
+
+from critiq.llm import fingerprints as fp
+from tests.llm.conftest import SCHEMA, prose
+
+
+def _edit(text, following):
+    n = len(text) // 4
+    return text[:len(text) - n] + following[:n]
+
+
+@pytest.mark.parametrize("parts", [1, 5, 64])
+def test_matches_direct_computation_over_part_borders(spark, parts):
+    texts = {i * 3: prose(i, 5 + i * 7 % 90) for i in range(60)} | {1000: "", 1001: "one", 1002: "two words"}
+    docs = spark.createDataFrame([(k, v, None, None, None) for k, v in texts.items()], SCHEMA).repartition(4)
+    got = {r.doc_id: r for r in fp.fingerprint_edits(docs, parts=parts).collect()}
+    order = sorted(texts)
+    assert sorted(got) == order
+    for i, k in enumerate(order):
+        text, following = texts[k], texts[order[(i + 1) % len(order)]]
+        changed = _edit(text, following)
+        r = got[k]
+        assert r.n_chars == len(text) and r.edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+        assert r.fingerprint == fp.fingerprint(text) and r.edited_fingerprint == fp.fingerprint(changed)
+        places = [np.frombuffer(bytes.fromhex(x), ">u2") for x in
+                  (r.fingerprint, r.edited_fingerprint, fp.fingerprint(following))]
+        assert r.near_edited == pytest.approx(np.mean(places[0] == places[1]))
+        assert r.near_next == pytest.approx(np.mean(places[0] == places[2]))
+
+
+def test_likeness_estimates_jaccard():
+    for cut in (20, 60, 150, 290):
+        a, b = prose(1, 300), prose(1, 300).split()[:cut] + prose(2, 300 - cut).split()
+        x, y = (set(zip(*[w[i:] for i in range(5)])) for w in (a.split(), b))
+        both = [np.frombuffer(bytes.fromhex(fp.fingerprint(t)), ">u2") for t in (a, " ".join(b))]
+        assert np.mean(both[0] == both[1]) == pytest.approx(len(x & y) / len(x | y), abs=0.15)
+
+
+def test_edge_rows(edge_docs, no_docs):
+    rows = fp.fingerprint_edits(edge_docs).collect()
+    assert len(rows) == edge_docs.count()
+    by_id = {r.doc_id: r for r in rows}
+    assert by_id[1].fingerprint == by_id[6].fingerprint and by_id[2].fingerprint == by_id[3].fingerprint
+    assert by_id[2].n_chars == 0 and all(0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1 for r in rows)
+    assert fp.fingerprint_edits(no_docs).collect() == []
+
+
+def test_only_null_ids_and_a_single_document(spark):
+    docs = spark.createDataFrame([(None, "a b c", None, None, None), (None, None, None, None, None)], SCHEMA)
+    assert len(fp.fingerprint_edits(docs).collect()) == 2
+    one = fp.fingerprint_edits(spark.createDataFrame([(4, prose(3, 40), None, None, None)], SCHEMA)).collect()
+    assert one[0].near_next == 1.0
+
+
+def test_band_join_links_near_copies_and_verifies(spark, edge_docs):
+    base = prose(9, 200).split()
+    near = " ".join(base[:195] + ["other"] * 5)
+    far = " ".join(base[:100] + prose(10, 100).split())
+    docs = spark.createDataFrame([(1, " ".join(base), None, None, None), (2, near, None, None, None),
+                                  (3, far, None, None, None), (4, prose(11, 200), None, None, None)], SCHEMA)
+    rows = fp.near_duplicates(docs).collect()
+    assert [(r.doc_id, r.like_id) for r in rows] == [(2, 1)] and rows[0].jaccard >= 0.8
+    assert {(r.doc_id, r.like_id) for r in fp.near_duplicates(edge_docs).collect()} >= {(6, 1)}
