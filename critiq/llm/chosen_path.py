@@ -44,7 +44,7 @@ LEAF = 32
 SKETCH = 64
 SKETCH_LEAST = 0.5
 LIKE = 80  # per cent
-_WORDS_KEPT = 500_000
+_WORDS_KEPT = 150_000
 _BLOCK = 512
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
