@@ -3,12 +3,19 @@
 Every document is its set of word shingles. In each of ``TREES``
 independent trees a document follows one path: at every level it goes to
 the child named by its minwise shingle under that level's hash. Two sets of
-similarity ``J`` share a path of depth ``d`` with probability ``J^d``, so
-``TREES`` trees of first depth ``DEPTHS[0]`` miss a pair at the threshold
-with probability ``(1 - 0.8^4)^20``, about 3 in 100,000, and a more alike
-pair far more rarely. A node with at most ``LEAF`` documents is compared
-exhaustively. A larger one compares its documents with two of them, drawn by
-a hash, and branches to the next depth, so its cost stays linear in its size.
+similarity ``J`` share a path of ``DEPTH`` levels with probability
+``J^DEPTH``, so a pair at the threshold meets in no node with probability
+``(1 - 0.8^4)^20``, about 3 in 100,000, and a more alike pair far more
+rarely. Every pair that meets is compared, or lies in one group already:
+
+* A node with at most ``LEAF`` documents gives all its pairs as candidates.
+* A larger one first links its documents to one of them, drawn by a hash.
+  The confirmed links are contracted. In every large node that still holds
+  several groups, the documents outside its largest group are then compared
+  with all of the node on full sets, in parts of bounded size. This costs
+  the product of the two counts, so a family of n documents of which no two
+  are alike costs n^2 comparisons; links between different groups are all
+  that leaves a part.
 
 Candidates are cut by set size and by a sketch whose estimate would have to
 be off by six standard errors to lose a link, and confirmed on full sets.
@@ -39,13 +46,14 @@ from critiq.llm.components import components
 from critiq.session import materialize
 
 TREES = 20
-DEPTHS = (4, 7, 10)
+DEPTH = 4
 LEAF = 32
 SKETCH = 64
 SKETCH_LEAST = 0.5
 LIKE = 80  # per cent
 _WORDS_KEPT = 150_000
 _BLOCK = 512
+_PART = 1 << 19  # shingles of a part that is compared exhaustively
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -59,8 +67,8 @@ class _WordHashes(dict):
 
 _hashes = _WordHashes()
 _rng = np.random.default_rng(77001)
-_A = _rng.integers(0, 2 ** 64, (TREES * DEPTHS[-1], 1), dtype=np.uint64) | np.uint64(1)
-_B = _rng.integers(0, 2 ** 64, (TREES * DEPTHS[-1], 1), dtype=np.uint64)
+_A = _rng.integers(0, 2 ** 64, (TREES * DEPTH, 1), dtype=np.uint64) | np.uint64(1)
+_B = _rng.integers(0, 2 ** 64, (TREES * DEPTH, 1), dtype=np.uint64)
 _SALT = _rng.integers(0, 2 ** 64, TREES, dtype=np.uint64)
 
 
@@ -93,22 +101,19 @@ def _minwise(shingles: np.ndarray) -> np.ndarray:
     return low
 
 
-def paths(shingles: np.ndarray) -> tuple[list[np.ndarray], bytes]:
-    """Node names per depth of ``DEPTHS`` (one per tree), and the sketch."""
+def paths(shingles: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """Node names (one per tree), and the sketch."""
     low = _minwise(shingles)
-    levels = low.reshape(DEPTHS[-1], TREES)
-    node, out = _SALT.copy(), []
-    for depth in range(DEPTHS[-1]):
-        node = (node ^ (levels[depth] + np.uint64(0x9E3779B97F4A7C15))) * _MIX
+    node = _SALT.copy()
+    for level in low.reshape(DEPTH, TREES):
+        node = (node ^ (level + np.uint64(0x9E3779B97F4A7C15))) * _MIX
         node ^= node >> np.uint64(31)
-        if depth + 1 in DEPTHS:
-            out.append(node.view(np.int64).copy())
-    return out, (low[:SKETCH] & np.uint64(255)).astype(np.uint8).tobytes()
+    return node.view(np.int64), (low[:SKETCH] & np.uint64(255)).astype(np.uint8).tobytes()
 
 
 def _describe(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, set_key, k0.. (node names per tree), sketch per row."""
-    names = ["doc_id", "n_shingles", "set_key", *[f"k{i}" for i in range(len(DEPTHS))], "sketch"]
+    """doc_id, n_shingles, set_key, nodes (one name per tree), sketch per row."""
+    names = ["doc_id", "n_shingles", "set_key", "nodes", "sketch"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,17 +122,16 @@ def _describe(docs: DataFrame, size: int) -> DataFrame:
                 s = shingle_set(text.as_py(), size)
                 if len(s):
                     nodes, sketch = paths(s)
-                    rows.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), *nodes, sketch))
+                    rows.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), nodes, sketch))
                 else:
-                    rows.append((0, None, *[None] * len(DEPTHS), None))
+                    rows.append((0, None, None, None))
             columns = list(zip(*rows)) if rows else [[] for _ in names[1:]]
-            kinds = [pa.int64(), pa.binary(), *[pa.list_(pa.int64())] * len(DEPTHS), pa.binary()]
+            kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(list(c), k) for c, k in zip(columns, kinds)]], names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    nodes = ", ".join(f"k{i} array<long>" for i in range(len(DEPTHS)))
-    return docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, set_key binary, {nodes}, sketch binary")
+    return docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, set_key binary, nodes array<long>, sketch binary")
 
 
 def _pair(x: str, y: str) -> list:
@@ -138,32 +142,21 @@ def _pair(x: str, y: str) -> list:
     return [lo["id"].alias("a"), lo["n"].alias("na"), hi["id"].alias("b"), hi["n"].alias("nb")]
 
 
-def _candidates(reps: DataFrame) -> DataFrame:
-    """Distinct a < b of all documents that meet in a node, with a size ratio that allows a link."""
-    keys = [f"k{i}" for i in range(len(DEPTHS))]
+def _candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Candidates a < b with a size ratio that allows a link, and the members (node, id, n) of the large nodes."""
     rows = reps.select(F.struct(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n")).alias("d"),
-                       F.posexplode(F.arrays_zip(*keys)).alias("tree", "k")).select("d", "tree", "k.*")
-    found = []
-    for level, key in enumerate(keys):
-        # drawn once per tree: a center of a node is also that of each node below it that holds it
-        ranked = F.struct(F.xxhash64("d.id", "tree").alias("h"), F.col("d"))
-        drawn = [F.min(ranked).alias("_first"), F.max(ranked).alias("_last")]
-        nodes = materialize(rows.groupBy(key).agg(F.count(F.lit(1)).alias("size"), *drawn).where("size > 1")
-                            .select(key, "size", F.col("_first.d").alias("one"), F.col("_last.d").alias("two")))
-        met = materialize(rows.join(nodes, key))
-        small = met.where(F.col("size") <= LEAF).groupBy(key).agg(F.collect_list("d").alias("all"))  # at most LEAF
-        found.append(small.select(F.col("all"), F.posexplode("all").alias("i", "x"))
-                     .select("x", F.explode(F.slice("all", F.col("i") + 2, LEAF)).alias("y")).select(*_pair("x", "y")))
-        large = met.where(F.col("size") > LEAF)
-        found += [large.select(*_pair("d", center)) for center in ("one", "two")]
-        rows = large.select("d", "tree", *keys[level + 1:])
-        if level + 1 < len(keys) and rows.isEmpty():
-            break
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
+                       F.explode("nodes").alias("node")).distinct()
+    ranked = F.struct(F.xxhash64("d.id", "node").alias("h"), F.col("d"))
+    nodes = materialize(rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min(ranked).alias("_first"))
+                        .where("size > 1").select("node", "size", F.col("_first.d").alias("center")))
+    met = materialize(rows.join(nodes, "node"))
+    small = met.where(F.col("size") <= LEAF).groupBy("node").agg(F.collect_list("d").alias("all"))  # at most LEAF
+    found = (small.select(F.col("all"), F.posexplode("all").alias("i", "x"))
+             .select("x", F.explode(F.slice("all", F.col("i") + 2, LEAF)).alias("y")).select(*_pair("x", "y")))
+    large = met.where(F.col("size") > LEAF)
+    pairs = found.unionByName(large.select(*_pair("d", "center")))
     fits = 100 * F.least("na", "nb") >= LIKE * F.greatest("na", "nb")
-    return pairs.where((F.col("a") < F.col("b")) & fits).select("a", "b").distinct()
+    return pairs.where((F.col("a") < F.col("b")) & fits).select("a", "b").distinct(), large.select("node", "d.*")
 
 
 def _alike(x: pa.Array, y: pa.Array) -> pa.Array:
@@ -191,6 +184,90 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, like: int) -> DataFr
     return met.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def _sets(texts: DataFrame, size: int) -> DataFrame:
+    """id, set (the bytes of the sorted shingle hashes) of each row (id, text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([shingle_set(t.as_py(), size).tobytes() for t in batch.column(1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), found], names=["id", "set"])
+
+    return texts.mapInArrow(run, f"id {texts.schema['id'].dataType.simpleString()}, set binary")
+
+
+def _links_of_part(table: pa.Table, like: int) -> pa.Table:
+    """Links (a, b) that connect what is alike of the part's open documents and its members, one per pair of groups."""
+    side = np.array(table.column("open").to_pylist(), bool)
+    opened, members = np.flatnonzero(side), np.flatnonzero(~side)
+    ids, groups = table.column("id"), table.column("component")
+    a, b = [], []
+    if len(opened) and len(members):
+        code = {c: i for i, c in enumerate(dict.fromkeys(groups.to_pylist()))}
+        group = np.array([code[c] for c in groups.to_pylist()])  # relabelled as groups are linked
+        raw = table.column("set")
+        held = [np.frombuffer(raw[int(i)].as_py(), np.uint64) for i in members]
+        n = np.array([len(x) for x in held])
+        starts = np.concatenate([[0], np.cumsum(n)[:-1]])
+        names, codes = np.unique(np.concatenate(held), return_inverse=True)
+        marked = np.zeros(len(names), np.int32)
+        for i in opened:
+            apart = group[members] != group[i]
+            if not apart.any():
+                continue
+            mine = np.frombuffer(raw[int(i)].as_py(), np.uint64)
+            at = np.minimum(np.searchsorted(names, mine), len(names) - 1)
+            at = at[names[at] == mine]
+            marked[at] = 1
+            both = np.add.reduceat(marked[codes], starts)
+            marked[at] = 0
+            good = members[apart & (100 * both >= like * (len(mine) + n - both))]
+            for g, k in zip(*np.unique(group[good], return_index=True)):
+                a.append(i)
+                b.append(good[k])
+                group[group == g] = group[i]
+    take = [pa.array(x, pa.int64()) for x in (a, b)]
+    return pa.table({"a": ids.take(take[0]), "b": ids.take(take[1])})
+
+
+def _across(large: DataFrame, groups: DataFrame, docs: DataFrame, size: int, like: int) -> DataFrame | None:
+    """All links that join groups (node, component) within a large node; None if no large node holds two groups.
+
+    In each node the documents outside its largest group meet all members.
+    Both sides are dealt into parts of about ``_PART`` shingles, and every
+    part of the one meets every part of the other in a task of its own.
+    """
+    known = groups.select(F.col("node").alias("id"), "component")
+    members = materialize(large.join(known, "id", "left").select(
+        "node", "id", "n", F.coalesce("component", "id").alias("component")))
+    held = members.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("shingles"))
+    nodes = held.groupBy("node").agg(
+        F.count(F.lit(1)).alias("groups"), F.sum("shingles").alias("shingles"),
+        F.max(F.struct("n", "component", "shingles")).alias("most")).where("groups > 1")
+    parts = [F.ceil(n / _PART).alias(name) for n, name in (
+        (F.col("shingles") - F.col("most.shingles"), "left"), (F.col("shingles"), "right"))]
+    nodes = materialize(nodes.select("node", F.col("most.component").alias("most"), *parts))
+    if nodes.isEmpty():
+        return None
+    open_ = F.col("component") != F.col("most")
+    met = members.join(nodes, "node").select("node", "id", "component", open_.alias("open"), "left", "right")
+    sets = materialize(_sets(docs.withColumnRenamed("doc_id", "id").join(
+        met.select("id").distinct().hint("shuffle_hash"), "id"), size).where(F.length("set") > 0).distinct())
+
+    def dealt(rows: DataFrame, own: str, other: str, is_open: bool) -> DataFrame:
+        drawn = F.pmod(F.xxhash64("id", "node"), F.col(own)).alias(own)
+        return rows.select("node", "id", "component", drawn, F.explode(F.sequence(F.lit(0).cast("long"), F.col(
+            other) - 1)).alias(other), F.lit(is_open).alias("open"))
+
+    both = dealt(met.where("open"), "left", "right", True).unionByName(dealt(met, "right", "left", False))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return both.join(sets, "id").groupBy("node", "left", "right").applyInArrow(
+        lambda table: _links_of_part(table, like), f"a {kind}, b {kind}").distinct()
+
+
+def _stars(groups: DataFrame) -> DataFrame:
+    """Links (a, b) of every node with the head of its component."""
+    return groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
 def near_groups(docs: DataFrame, size: int = 5, like: int = LIKE, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept: groups of documents linked by similar shingle sets.
@@ -204,7 +281,8 @@ def near_groups(docs: DataFrame, size: int = 5, like: int = LIKE, id_col: str =
     reps = rows.join(heads, (rows["set_key"] == heads["set_key"]) & (rows["doc_id"] == heads["rep"])).select(rows["*"])
     sketches = reps.select("doc_id", "sketch").dropDuplicates(["doc_id"])
     alike = F.arrow_udf(_alike, "double")
-    pairs = (_candidates(reps)
+    pairs, large = _candidates(reps)
+    pairs = (pairs
              .join(sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("x")), "a")
              .join(sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("y")), "b")
              .select("a", "b", alike("x", "y").alias("alike")).where(F.col("alike") >= SKETCH_LEAST))
@@ -220,12 +298,14 @@ def near_groups(docs: DataFrame, size: int = 5, like: int = LIKE, id_col: str =
     apart = F.coalesce("ca", "a") != F.coalesce("cb", "b")
     rest = left.where(apart).join(first.select("a", "b"), ["a", "b"], "left_anti").select("a", "b")
     # the first groups are stars already
-    links = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(
-        _confirm(rest, texts, size, like))
+    links = _stars(groups).unionByName(_confirm(rest, texts, size, like))
     # rows of one doc_id with different texts are one document
     same = rows.join(heads, "set_key").where(F.col("doc_id") != F.col("rep")).select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     groups = materialize(components(links.unionByName(same)))
+    across = _across(large, groups, narrow, size, like)
+    if across is not None:
+        groups = materialize(components(_stars(groups).unionByName(across)))
     out = (rows.select("doc_id", "n_shingles")
            .join(groups.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left"))
     component = F.coalesce("component", "doc_id")

@@ -67,6 +67,25 @@ def test_a_large_group_branches(spark, monkeypatch, leaf, right):
     assert sum(got[i] == want[i] for i in want) >= right * len(want)
 
 
+def test_members_alike_only_to_each_other_are_linked_in_a_large_group(spark, monkeypatch):
+    # one template of which hardly two documents are alike (0.71), and a borderline copy (0.82) of each
+    monkeypatch.setattr(C, "LEAF", 1)
+    rnd, rows = random.Random(21), []
+    template = prose(77, 120, 5000).split()
+    for g in range(100):
+        words = list(template)
+        for k, at in enumerate(rnd.sample(range(0, 120, 2), 11)):
+            if k == 5:
+                rows.append(" ".join(words))
+            words[at] = f"own{g}x{k}"
+        rows.append(" ".join(words))
+    rows = list(enumerate(rows))
+    frame = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)
+    want = {i: c for i, (_, c, _) in _brute(rows, 2).items()}
+    assert 50 < len(set(want.values())) <= 100
+    assert {r.doc_id: r.component_id for r in C.near_groups(frame, 2).collect()} == want
+
+
 def test_words_are_ascii_lower_cased_and_parted_by_ascii_blanks(spark):
     rows = [(1, "A\tb\nC"), (2, "a B c"), (3, "É b c"), (4, "é b c"), (5, "a b c"), (6, "one"), (7, "ONE"), (8, " ")]
     frame = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)
