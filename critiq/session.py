@@ -7,7 +7,7 @@ import os
 import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -81,9 +81,21 @@ def materialize(df):
     scores, DF and the group count): they then read the same files instead
     of each re-running the plan below, and the lineage is cut, so a lost
     executor does not send the recomputation back to the raw input.
+
+    A checkpoint keeps the size estimate of the plan it cuts, and a join
+    multiplies the estimates of its sides, so in a chain of materialised
+    joins the digits of the estimate double with each step until the driver
+    spends its time multiplying. The frame returned is therefore built anew
+    over the checkpointed rows and has the default estimate; adaptive
+    execution goes by the real sizes.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    kept = df.checkpoint(eager=True)
+    if not hasattr(spark, "_jsparkSession"):  # Spark Connect: no handle on the rows
+        return kept
+    rows = kept._jdf.queryExecution().toRdd()
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(rows, kept._jdf.schema(), False), spark)
 
 
 def ship_package(spark: SparkSession) -> None:
