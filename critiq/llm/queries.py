@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from critiq.llm import bpe, chosen_path, fingerprints, line_dedup, packing, pivot_topk, quality, secret_scan, shards, suffix_dedup
+from critiq.llm import (
+    bpe, chosen_path, fingerprints, line_dedup, packing, pivot_topk, quality, secret_scan, shards, suffix_dedup, warc,
+)
 from critiq.session import ship_package
 
 
@@ -75,6 +77,11 @@ def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer_path())
 
 
+def op13_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records: monolithic gzip archives, normalised to a member per record, read back by index."""
+    return warc.page_report(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_fingerprints": op1_minhash_fingerprints,
     "op2_quality_gam": op2_quality_gam,
@@ -86,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_automaton": op8_bpe_automaton,
     "op9_fuzzy_lines": op9_fuzzy_lines,
     "op10_best_two_fit": op10_best_two_fit,
+    "op13_warc_members": op13_warc_members,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -102,4 +110,20 @@ ORACLE_SQL: dict[str, str] = {
         SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
                vec_id, score FROM scored)
     SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    # base32: eight groups of five hexadecimal digits (20 bits), four digits each
+    "op13_warc_members": """
+    WITH payloads AS (
+        SELECT page_id, coalesce(html, '') AS html FROM pages),
+    marked AS (
+        SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS hex,
+               first_value(page_id) OVER w AS head, row_number() OVER w AS place
+        FROM payloads WINDOW w AS (PARTITION BY html ORDER BY page_id NULLS LAST))
+    SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+           array_to_string(list_transform(range(32), lambda i:
+               substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                      ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '')
+               AS payload_digest,
+           CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN place > 1 THEN head END AS refers_to
+    FROM marked""",
 }
