@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from critiq.llm import (
-    bpe, chosen_path, fingerprints, line_dedup, packing, pivot_topk, quality, secret_scan, shards, suffix_dedup, warc,
+    bpe, chosen_path, conversations, fingerprints, line_dedup, packing, pivot_topk, quality, secret_scan, shards, suffix_dedup,
+    warc,
 )
 from critiq.session import ship_package
 
@@ -77,6 +78,11 @@ def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer_path())
 
 
+def op12_cyk_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structure of all conversations after planted damage, repaired at the least cost."""
+    return conversations.repair_report(_table(spark, sf_dir, "conversations"))
+
+
 def op13_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as WARC records: monolithic gzip archives, normalised to a member per record, read back by index."""
     return warc.page_report(_table(spark, sf_dir, "pages"))
@@ -93,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_automaton": op8_bpe_automaton,
     "op9_fuzzy_lines": op9_fuzzy_lines,
     "op10_best_two_fit": op10_best_two_fit,
+    "op12_cyk_repair": op12_cyk_repair,
     "op13_warc_members": op13_warc_members,
 }
 
