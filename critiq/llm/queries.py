@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from critiq.llm import (
-    bpe, chosen_path, conversations, fingerprints, line_dedup, packing, pivot_topk, quality, secret_scan, shards, suffix_dedup,
-    warc,
+    bpe, chosen_path, conversations, fingerprints, line_dedup, packing, pivot_topk, quality, secret_scan, shards, spelling,
+    suffix_dedup, warc,
 )
 from critiq.session import ship_package
 
@@ -78,6 +78,11 @@ def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer_path())
 
 
+def op11_partenum_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the frequent words of all documents."""
+    return spelling.variant_report(_table(spark, sf_dir, "documents"))
+
+
 def op12_cyk_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structure of all conversations after planted damage, repaired at the least cost."""
     return conversations.repair_report(_table(spark, sf_dir, "conversations"))
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_automaton": op8_bpe_automaton,
     "op9_fuzzy_lines": op9_fuzzy_lines,
     "op10_best_two_fit": op10_best_two_fit,
+    "op11_partenum_spelling": op11_partenum_spelling,
     "op12_cyk_repair": op12_cyk_repair,
     "op13_warc_members": op13_warc_members,
 }
