@@ -28,9 +28,22 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rank"
     ``order`` must be total (end it with a unique key) for a deterministic result.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
+    return _numbered(materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)), name)
+
+
+def with_position(df: DataFrame, name: str = "position") -> DataFrame:
+    """O1–O3: the place 1..n of every row in the order in which ``df`` hands out its rows.
+
+    For a sorted frame this is the proof of its order: partitions hold ascending ranges, so the place is the number of
+    rows in the partitions before plus the place within. The frame is written once, as its sort must not run twice.
+    """
+    return _numbered(materialize(df), name)
+
+
+def _numbered(held: DataFrame, name: str) -> DataFrame:
+    """Places 1..n over the partitions of a materialised frame, in partition order."""
     rid = F.monotonically_increasing_id()
-    numbered = (ranged.withColumn("_rid", rid)
+    numbered = (held.withColumn("_rid", rid)
                 .withColumn("_part", F.shiftright(F.col("_rid"), _POS_BITS))
                 .withColumn("_pos", F.col("_rid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
     sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
@@ -39,7 +52,7 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rank"
     ranked = numbered.join(F.broadcast(offsets), "_part")
     return ranked.select(
         (F.col("_offset") + F.col("_pos") + 1).alias(name),
-        *[F.col(c) for c in df.columns],
+        *[F.col(c) for c in held.columns],
     )
 
 
@@ -61,11 +74,12 @@ def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
 def argmax_with_ties(df: DataFrame, measure: str) -> DataFrame:
     """Every row whose non-NULL ``measure`` equals the global maximum (ties kept).
 
-    ``rank() = 1`` plans a partial group limit, so each partition passes on
-    only its own top ties and one lazy pass suffices.
+    Two phases: the maximum as a scalar (each partition passes on one value), then a filter where the rows lie, so any
+    number of ties stays spread over the tasks. Both read ``df`` from the checkpoint folder, where it is written once.
     """
-    top = F.rank().over(Window.orderBy(F.col(measure).desc_nulls_last()))
-    return df.withColumn("_rank", top).where((F.col("_rank") == 1) & F.col(measure).isNotNull()).drop("_rank")
+    held = materialize(df)
+    top = held.agg(F.max(measure)).scalar()
+    return held.where(F.col(measure) == top)
 
 
 def sort_desc_tiebreak(df: DataFrame, measure: str, key: str | Sequence[str]) -> DataFrame:

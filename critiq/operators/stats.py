@@ -26,6 +26,25 @@ def rating_sums(ratings: DataFrame, keys: Sequence[str], rating: str = "rating")
     return ratings.groupBy(*keys).agg(F.sum(rating).alias("rating_sum"), F.count(rating).alias("n"))
 
 
+def pair_sums(ratings: DataFrame, by: str, keys: Sequence[str], spread: int = 16,
+              rating: str = "rating") -> DataFrame:
+    """keys..., ``by``, _salt, rating_sum, n: sums per (``by``, keys) below a later join on ``by`` (eager aggregation).
+
+    One shuffle serves both: rows are dealt by ``by`` and a salt taken from the keys, the sums are finished where they
+    lie, and :func:`salted_lookup` joins on the same two columns. A ``by`` that holds a large share of the rows is spread
+    over ``spread`` partitions.
+    """
+    salted = ratings.select(by, *keys, rating, F.pmod(F.hash(*keys), F.lit(spread)).alias("_salt"))
+    dealt = salted.repartition(F.col(by), F.col("_salt"))
+    return dealt.groupBy(by, "_salt", *keys).agg(F.sum(rating).alias("rating_sum"), F.count(rating).alias("n"))
+
+
+def salted_lookup(pairs: DataFrame, dim: DataFrame, by: str, how: str = "inner", spread: int = 16) -> DataFrame:
+    """Join :func:`pair_sums` with a dimension of one row per ``by``, repeated for every salt; ``how`` is inner or left."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
+    return pairs.join(dim.withColumn("_salt", salts), [by, "_salt"], how).drop("_salt")
+
+
 def finish_stats(sums: DataFrame, keys: Sequence[str], places: int | None = 4,
                  as_float: bool = False, rollup: bool = False) -> DataFrame:
     """Turn ``rating_sum``/``n`` rows into ``avg_rating``/``n``.
@@ -55,19 +74,19 @@ def explode_list(df: DataFrame, list_col: str, item_col: str, sep: str = "|") ->
     return df.withColumn(item_col, F.explode(items)).drop(list_col)
 
 
-def category_sums(ratings: DataFrame, key: str, category_col: str, categories: Sequence[str],
-                  rating: str = "rating") -> DataFrame:
-    """A4/A14 core: per key, sum and count of ratings for each listed category.
+def category_sums(sums: DataFrame, key: str, category_col: str, categories: Sequence[str]) -> DataFrame:
+    """A4/A14 core: per key, sum and count of ratings for each listed category, from ``rating_sum``/``n`` rows.
 
     One conditional aggregate per category; values outside the list are
-    ignored but the key row stays (D3). Every key present in ``ratings``
+    ignored but the key row stays (D3). Every key present in ``sums``
     gets a row, so nothing needs a later cross join to be densified.
     """
     aggs = []
     for i, cat in enumerate(categories):
-        hit = F.when(F.col(category_col) == F.lit(cat), F.col(rating))
-        aggs += [F.sum(hit).alias(f"_sum{i}"), F.count(hit).alias(f"_n{i}")]
-    return ratings.groupBy(key).agg(*aggs)
+        hit = F.col(category_col) == F.lit(cat)
+        aggs += [F.sum(F.when(hit, F.col("rating_sum"))).alias(f"_sum{i}"),
+                 F.sum(F.when(hit, F.col("n")).otherwise(0)).alias(f"_n{i}")]
+    return sums.groupBy(key).agg(*aggs)
 
 
 def widen_categories(sums: DataFrame, key: str, categories: Sequence[str], names: Sequence[str],

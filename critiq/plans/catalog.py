@@ -24,6 +24,7 @@ from critiq.operators import (
     lookup, rating_stats, remove_stopwords, review_tokens, snowflake_lookup, sort_desc_tiebreak,
     term_frequency,
 )
+from critiq.plans import file_catalog
 from critiq.plans.oracle import with_tables
 from critiq.session import materialize
 from critiq.sinks.text import (
@@ -32,7 +33,7 @@ from critiq.sinks.text import (
 from critiq.sources import tables
 from critiq.sources.text import (
     REVIEW_OPTIONS, TOKEN_OPTIONS, csv_options, filter_required_fields, parse_delimited, parse_lines, parse_movies,
-    parse_ratings, parse_words, union_inputs,
+    parse_ratings, parse_words,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -281,15 +282,15 @@ register("tokens_roundtrip", with_tables("tokens") + "SELECT word, topic, aspect
 
 # --------------------------------------------------------------------------- per-operator keys
 
-# S1 unions two rating inputs. On the test data the two "files" are the two line-status halves of
-# one table, so that table is scanned once per half; separate input files are each read once.
+# S1 unions two rating inputs: here the two line-status halves of one table, read in one scan
+# (files of several paths: ``scan_input_files``)
 register("scan_union_inputs", """
 SELECT o.o_custkey AS user_id, l.l_partkey AS movie_id, l.l_quantity AS rating, l.l_shipdate AS ts
 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE l.l_linestatus = 'F'
 UNION ALL
 SELECT o.o_custkey, l.l_partkey, l.l_quantity, l.l_shipdate
 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE l.l_linestatus IS DISTINCT FROM 'F'
-""")(lambda spark, d: union_inputs(*tables.rating_parts(spark, d)))
+""")(lambda spark, d: tables.rating_inputs(spark, d).drop("input"))
 
 
 def _lines(spark, d, table, *fields, sep):
@@ -587,8 +588,8 @@ UNION ALL SELECT 4, '  Số lượt   : ' || n FROM best
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {**QUERIES, **file_catalog.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return {**ORACLE, **file_catalog.ORACLE}

@@ -3,8 +3,8 @@
 Plan shape shared by all of them: aggregate the facts as early as the
 grouping allows (partial aggregation happens map-side, so a hot movie or user
 is combined before the shuffle), and look dimension attributes up on the
-aggregated rows. Only the per-user attribute breakdowns (gender, age) must
-join users to individual ratings first.
+aggregated rows. The per-user attribute breakdowns (gender, age) join users to
+sums per (user, movie), finished on the partitioning that the join uses too.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from critiq.operators.lookup import lookup, lookup_few, snowflake_lookup
 from critiq.operators.ranking import global_row_number
 from critiq.operators.stats import (
     best_with_support, category_sums, densify_categories, explode_list, finish_stats,
-    rating_stats, rating_sums, widen_categories,
+    pair_sums, rating_stats, rating_sums, salted_lookup, widen_categories,
 )
 
 # Placeholders used in the outputs.
@@ -95,8 +95,7 @@ def movie_gender_wide(ratings: DataFrame, users: DataFrame, movies: DataFrame) -
     Ratings of unknown users are dropped first (D4); other genders are
     ignored but their movie stays (D3).
     """
-    rated = lookup(ratings.select("user_id", "movie_id", "rating"), users.select("user_id", "gender"),
-                   "user_id", "drop")
+    rated = salted_lookup(pair_sums(ratings, "user_id", ["movie_id"]), users.select("user_id", "gender"), "user_id")
     sums = category_sums(rated, "movie_id", "gender", GENDERS_WIDE)
     wide = widen_categories(sums, "movie_id", GENDERS_WIDE, ["male", "female"], places=None, as_float=True)
     return lookup(wide, _titles(movies), "movie_id", "default", {"title": UNKNOWN_TITLE}) \
@@ -105,8 +104,7 @@ def movie_gender_wide(ratings: DataFrame, users: DataFrame, movies: DataFrame) -
 
 def movie_age_wide(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
     """Per-movie age breakdown, wide: movie_id, title and one float32 average per inclusive age group (NULL = NA)."""
-    rated = lookup(ratings.select("user_id", "movie_id", "rating"), users.select("user_id", "age"),
-                   "user_id", "drop")
+    rated = salted_lookup(pair_sums(ratings, "user_id", ["movie_id"]), users.select("user_id", "age"), "user_id")
     grouped = rated.withColumn("age_group", age_group_inclusive("age"))
     # A pivot on the listed groups: one conditional aggregate per group. An explicit
     # ``groupBy().pivot()`` would aggregate twice (per movie and group, then per movie)
@@ -132,16 +130,16 @@ def movie_gender_long(ratings: DataFrame, users: DataFrame, movies: DataFrame) -
     Unknown users form an ``Unknown`` group that the fixed category list then
     leaves out, while their movies stay (D2).
     """
-    rated = lookup(ratings.select("user_id", "movie_id", "rating"), users.select("user_id", "gender"),
-                   "user_id", "default", {"gender": UNKNOWN_GROUP})
+    rated = salted_lookup(pair_sums(ratings, "user_id", ["movie_id"]), users.select("user_id", "gender"), "user_id",
+                          "left").withColumn("gender", F.coalesce("gender", F.lit(UNKNOWN_GROUP)))
     sums = category_sums(rated, "movie_id", "gender", GENDERS_LONG)
     return _long_output(densify_categories(sums, "movie_id", GENDERS_LONG, "gender"), movies, "gender")
 
 
 def movie_age_long(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
     """Per-movie age breakdown, long: every rated movie x 6 half-open age groups, as in :func:`movie_gender_long`."""
-    rated = lookup(ratings.select("user_id", "movie_id", "rating"), users.select("user_id", "age"),
-                   "user_id", "default")
+    rated = salted_lookup(pair_sums(ratings, "user_id", ["movie_id"]), users.select("user_id", "age"), "user_id",
+                          "left")
     rated = rated.withColumn("age_group", F.coalesce(age_group_half_open("age"), F.lit(UNKNOWN_GROUP)))
     sums = category_sums(rated, "movie_id", "age_group", AGE_LABELS_HALF_OPEN)
     return _long_output(densify_categories(sums, "movie_id", AGE_LABELS_HALF_OPEN, "age_group"),

@@ -6,6 +6,7 @@ import math
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -98,6 +99,13 @@ def materialize(df):
     return DataFrame(spark._jsparkSession.internalCreateDataFrame(rows, kept._jdf.schema(), False), spark)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """URI of a fresh folder below the shared checkpoint folder, for files that the executors write and read."""
+    ensure_checkpoint_dir(spark)
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get(CHECKPOINT_CONF)
+    return re.sub(r"^file:/+", "file:///", f"{base}/{name}-{uuid.uuid4().hex}")
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python tasks of a local session, wherever the driver found it.
 

@@ -82,6 +82,38 @@ def write_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
     lines.select("line").write.mode(mode).text(path)
 
 
+MAX_ORDERED_FILES = 100_000  # names of more files would no longer sort in order
+
+
+def write_ordered_lines(lines: DataFrame, path: str, order: Sequence[Column], files: int | None = None,
+                        mode: str = "error") -> None:
+    """The ``line`` column as text files that concatenate, by name, in the given order.
+
+    Range partitions, each sorted and written as one file: the result is ordered over all files without a single
+    task seeing all rows. ``order`` should be total (end in a unique key), otherwise ties come in any order and a
+    value that many rows share makes one large file. ``files`` is by default ``spark.sql.shuffle.partitions``;
+    empty ranges write no file. Read back with :func:`critiq.sources.read_numbered_lines`.
+    """
+    n = files or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not 0 < n <= MAX_ORDERED_FILES:
+        raise ValueError(f"1 to {MAX_ORDERED_FILES} files, not {n}")
+    ranged = lines.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged.select("line").write.mode(mode).option("compression", "none").text(path)
+
+
+def write_report(body: DataFrame, key: Column | str, trailer: DataFrame, path: str, files: int | None = None,
+                 mode: str = "error") -> None:
+    """``line`` rows in the byte order of their key as text, then the lines of ``trailer``, in one ordered output.
+
+    This is the output of a sorted reduce step that adds its closing line at the end. NULL keys come first, rows of equal keys by
+    their line.
+    """
+    keyed = body.select(F.lit(0).alias("_part"), _c(key).cast("string").alias("_key"), "line")
+    closing = trailer.select(F.lit(1).alias("_part"), F.lit(None).cast("string").alias("_key"), "line")
+    write_ordered_lines(keyed.unionByName(closing), path, [F.col("_part"), F.col("_key").asc_nulls_first(), F.col("line")],
+                        files, mode)
+
+
 def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K2: tab-separated lines, no header, no quoting; NULL as the empty field."""
     write_lines(render_tsv(df), path, mode)

@@ -16,3 +16,5 @@ from critiq.sources.text import (  # noqa: F401
     parse_ratings,
     parse_words,
 )
+from critiq.sources.checked import CheckedLines, check_lines, read_ratings_checked, split_lines  # noqa: F401
+from critiq.sources.ordered import number_lines, read_numbered_lines, read_with_inputs, with_inputs  # noqa: F401

@@ -11,6 +11,8 @@ same tables in SQL.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,13 +21,13 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _ratings_from(spark: SparkSession, sf_dir: str, li: DataFrame, user: bool) -> DataFrame:
+def _ratings_from(spark: SparkSession, sf_dir: str, li: DataFrame, user: bool, keep: Sequence[str] = ()) -> DataFrame:
     if user:
         orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
         li = li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
     who = [F.col("o_custkey").alias("user_id")] if user else []
     return li.select(*who, F.col("l_partkey").alias("movie_id"), F.col("l_quantity").alias("rating"),
-                     F.col("l_shipdate").alias("ts"))
+                     F.col("l_shipdate").alias("ts"), *keep)
 
 
 def ratings(spark: SparkSession, sf_dir: str, user: bool = False) -> DataFrame:
@@ -37,12 +39,16 @@ def ratings(spark: SparkSession, sf_dir: str, user: bool = False) -> DataFrame:
     return _ratings_from(spark, sf_dir, _read(spark, sf_dir, "lineitem"), user)
 
 
-def rating_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The two rating "files" of S1, with users: line status ``F`` and the rest (NULL included)."""
+# the two rating "files" of S1
+RATING_INPUTS = ["first", "rest"]
+
+
+def rating_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """user_id, movie_id, rating, ts, input: all ratings in one scan; ``first`` holds line status ``F``, ``rest`` the others."""
     li = _read(spark, sf_dir, "lineitem")
-    first = li.where(F.col("l_linestatus") == "F")
-    rest = li.where(~F.col("l_linestatus").eqNullSafe("F"))
-    return _ratings_from(spark, sf_dir, first, True), _ratings_from(spark, sf_dir, rest, True)
+    first, rest = RATING_INPUTS
+    half = F.when(F.col("l_linestatus") == "F", first).otherwise(rest)
+    return _ratings_from(spark, sf_dir, li.withColumn("input", half), True, ["input"])
 
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:

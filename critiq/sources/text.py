@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from critiq import schemas
 from critiq.functions.text import regex_literal, strip
+from critiq.sources.ordered import as_paths, read_with_inputs, with_inputs
 
 
 def csv_options(sep: str, trimmed: bool = True) -> dict[str, str]:
@@ -43,40 +44,27 @@ def parse_lines(lines: DataFrame, schema: T.StructType, options: dict[str, str],
     return lines.select(parsed.alias("_row")).select("_row.*")
 
 
-def _paths(paths: str | Iterable[str]) -> list[str]:
-    return [paths] if isinstance(paths, str) else list(paths)
-
-
-def read_ratings(spark: SparkSession, paths: str | Iterable[str], sep: str = ",", strict: bool = False) -> DataFrame:
-    """Several rating files read as one relation (bag union, duplicates kept).
+def read_ratings(spark: SparkSession, paths: str | Iterable[str], sep: str = ",", strict: bool = False,
+                 input_name: str | None = None) -> DataFrame:
+    """Several rating files read as one relation (bag union, duplicates kept), in one scan.
 
     ``strict`` drops lines with fewer fields than the schema (S6) and fails
-    on a bad number (S7).
+    on a bad number (S7). ``input_name`` adds a column of that name with the
+    path, as given, that a row was read by. To keep bad lines instead, with
+    the reason, see :mod:`critiq.sources.checked`.
     """
-    if strict:
-        return parse_ratings(spark.read.text(_paths(paths)), "value", sep)
-    return spark.read.schema(schemas.RATINGS).options(**csv_options(sep)).csv(_paths(paths))
+    paths = as_paths(paths)
+    scan = (spark.read.text(paths) if strict
+            else spark.read.schema(schemas.RATINGS).options(**csv_options(sep)).csv(paths))
+    if input_name:
+        scan = with_inputs(scan, paths, input_name)
+    return parse_ratings(scan, "value", sep, [input_name] if input_name else []) if strict else scan
 
 
-def parse_ratings(lines: DataFrame, line: str = "line", sep: str = ",") -> DataFrame:
+def parse_ratings(lines: DataFrame, line: str = "line", sep: str = ",", keep: Sequence[str] = ()) -> DataFrame:
     """S6 and S7 together: lines with too few fields go, a bad number fails the query."""
     enough = F.size(F.split(F.col(line), regex_literal(sep))) >= len(schemas.RATINGS.fields)
-    return lines.where(enough).select(*parse_delimited(line, sep, schemas.RATINGS, strict=True))
-
-
-def _in_line_order(spark: SparkSession, paths: str | Iterable[str], read) -> DataFrame:
-    """``read(reader, path)`` of every path, with ``line_no``: place of the path, file, place in the file.
-
-    Paths rank in the order given, the files below one path by name, lines
-    by the split they lie in and their place there.
-    """
-    parts = []
-    for place, path in enumerate(_paths(paths)):
-        part = read(spark.read, path)
-        parts.append(part.withColumn("line_no", F.struct(
-            F.lit(place).alias("path"), F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))))
-    return union_inputs(*parts)
+    return lines.where(enough).select(*parse_delimited(line, sep, schemas.RATINGS, strict=True), *keep)
 
 
 def read_dimension(spark: SparkSession, paths: str | Iterable[str], schema: T.StructType,
@@ -87,10 +75,9 @@ def read_dimension(spark: SparkSession, paths: str | Iterable[str], schema: T.St
     the input; ``dedupe_dimension(dim, key, "line_no")`` then keeps the last
     line of each key, as a hash map filled line by line does (J9).
     """
-    def read(reader, path):
-        return reader.schema(schema).options(**csv_options(sep)).csv(path)
-
-    return _in_line_order(spark, paths, read) if line_order else read(spark.read, _paths(paths))
+    paths = as_paths(paths)
+    scan = spark.read.schema(schema).options(**csv_options(sep)).csv(paths)
+    return with_inputs(scan, paths, order_name="line_no") if line_order else scan
 
 
 def parse_movies(lines: DataFrame, line: str = "line", strict: bool = False, keep: Sequence[str] = ()) -> DataFrame:
@@ -114,14 +101,14 @@ def read_movies(spark: SparkSession, paths: str | Iterable[str], strict: bool =
                 line_order: bool = False) -> DataFrame:
     """S2 for movies (see :func:`parse_movies`); ``line_order`` as in :func:`read_dimension`."""
     if line_order:
-        lines = _in_line_order(spark, paths, lambda reader, path: reader.text(path))
+        lines = read_with_inputs(spark, paths, lambda reader, p: reader.text(p), order_name="line_no")
         return parse_movies(lines, "value", strict, ["line_no"])
-    return parse_movies(spark.read.text(_paths(paths)), "value", strict)
+    return parse_movies(spark.read.text(as_paths(paths)), "value", strict)
 
 
 def read_reviews(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """S3: ``;`` separated reviews, every column a string; empty field -> NULL."""
-    return spark.read.schema(schemas.REVIEWS).options(**REVIEW_OPTIONS).csv(_paths(paths))
+    return spark.read.schema(schemas.REVIEWS).options(**REVIEW_OPTIONS).csv(as_paths(paths))
 
 
 def parse_words(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -135,12 +122,12 @@ def parse_words(lines: DataFrame, line: str = "line") -> DataFrame:
 
 def read_wordlist(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """One word per line (see :func:`parse_words`)."""
-    return parse_words(spark.read.text(_paths(paths)), "value")
+    return parse_words(spark.read.text(as_paths(paths)), "value")
 
 
 def read_tokens(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """Tab separated re-load of stored tokens (word, topic, aspect, sentiment)."""
-    return spark.read.schema(schemas.TOKENS).options(**TOKEN_OPTIONS).csv(_paths(paths))
+    return spark.read.schema(schemas.TOKENS).options(**TOKEN_OPTIONS).csv(as_paths(paths))
 
 
 def union_inputs(*frames: DataFrame) -> DataFrame:
