@@ -3,7 +3,7 @@
 from critiq.operators.lookup import dedupe_dimension, lookup, lookup_few, snowflake_lookup  # noqa: F401
 from critiq.operators.stats import (  # noqa: F401
     best_with_support, category_sums, densify_categories, explode_list, finish_stats,
-    pair_sums, rating_stats, rating_sums, widen_categories,
+    pair_sums, pairs_lookup, rating_stats, rating_sums, widen_categories,
 )
 from critiq.operators.ranking import (  # noqa: F401
     argmax_with_ties, global_row_number, sort_desc_tiebreak, top_k_per_group, with_position,

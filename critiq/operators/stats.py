@@ -26,23 +26,33 @@ def rating_sums(ratings: DataFrame, keys: Sequence[str], rating: str = "rating")
     return ratings.groupBy(*keys).agg(F.sum(rating).alias("rating_sum"), F.count(rating).alias("n"))
 
 
-def pair_sums(ratings: DataFrame, by: str, keys: Sequence[str], spread: int = 16,
+SALT = "_salt"
+
+
+def pair_sums(ratings: DataFrame, by: str, keys: Sequence[str], spread: int | None = None,
               rating: str = "rating") -> DataFrame:
-    """keys..., ``by``, _salt, rating_sum, n: sums per (``by``, keys) below a later join on ``by`` (eager aggregation).
+    """keys..., ``by``, rating_sum, n: sums per (``by``, keys) below a later join on ``by`` (eager aggregation, J2/J3).
+
+    By default repeats are combined before the shuffle, which deals the sums by all columns, so a ``by`` that holds a large
+    share of the rows is spread over all tasks; the join that follows deals the sums again (unless it broadcasts the
+    dimension) and adaptive execution splits its hot partitions.
 
-    One shuffle serves both: rows are dealt by ``by`` and a salt taken from the keys, the sums are finished where they
-    lie, and :func:`salted_lookup` joins on the same two columns. A ``by`` that holds a large share of the rows is spread
-    over ``spread`` partitions.
+    With ``spread`` one shuffle serves both: rows are dealt by ``by`` and one of ``spread`` salts taken from the keys,
+    the sums are finished where they lie, and :func:`pairs_lookup` joins on the same partitioning. This saves a shuffle
+    where no ``by`` holds more than ``spread`` partitions' worth of rows.
     """
-    salted = ratings.select(by, *keys, rating, F.pmod(F.hash(*keys), F.lit(spread)).alias("_salt"))
-    dealt = salted.repartition(F.col(by), F.col("_salt"))
-    return dealt.groupBy(by, "_salt", *keys).agg(F.sum(rating).alias("rating_sum"), F.count(rating).alias("n"))
+    if spread is None:
+        return rating_sums(ratings, [by, *keys], rating)
+    salted = ratings.select(by, *keys, rating, F.pmod(F.hash(*keys), F.lit(spread)).alias(SALT))
+    return rating_sums(salted.repartition(F.col(by), F.col(SALT)), [by, SALT, *keys], rating)
 
 
-def salted_lookup(pairs: DataFrame, dim: DataFrame, by: str, how: str = "inner", spread: int = 16) -> DataFrame:
-    """Join :func:`pair_sums` with a dimension of one row per ``by``, repeated for every salt; ``how`` is inner or left."""
+def pairs_lookup(pairs: DataFrame, dim: DataFrame, by: str, how: str = "inner", spread: int | None = None) -> DataFrame:
+    """Join the rows of :func:`pair_sums` (same ``spread``) with a dimension of one row per ``by``; ``how`` is inner or left."""
+    if spread is None:
+        return pairs.join(dim, by, how)
     salts = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
-    return pairs.join(dim.withColumn("_salt", salts), [by, "_salt"], how).drop("_salt")
+    return pairs.join(dim.withColumn(SALT, salts), [by, SALT], how).drop(SALT)
 
 
 def finish_stats(sums: DataFrame, keys: Sequence[str], places: int | None = 4,

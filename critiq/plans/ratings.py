@@ -4,7 +4,7 @@ Plan shape shared by all of them: aggregate the facts as early as the
 grouping allows (partial aggregation happens map-side, so a hot movie or user
 is combined before the shuffle), and look dimension attributes up on the
 aggregated rows. The per-user attribute breakdowns (gender, age) join users to
-sums per (user, movie), finished on the partitioning that the join uses too.
+sums per (user, movie), not to single ratings.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from critiq.operators.lookup import lookup, lookup_few, snowflake_lookup
 from critiq.operators.ranking import global_row_number
 from critiq.operators.stats import (
     best_with_support, category_sums, densify_categories, explode_list, finish_stats,
-    pair_sums, rating_stats, rating_sums, salted_lookup, widen_categories,
+    pair_sums, pairs_lookup, rating_stats, rating_sums, widen_categories,
 )
 
 # Placeholders used in the outputs.
@@ -89,22 +89,30 @@ def genre_rating(ratings: DataFrame, movies: DataFrame, places: int | None = 4,
     return out.select(F.col("rank").cast("long").alias("rank"), "genre", "avg_rating", "n")
 
 
-def movie_gender_wide(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
+def _with_user(ratings: DataFrame, users: DataFrame, attribute: str, how: str, spread: int | None) -> DataFrame:
+    """movie_id, attribute, rating_sum, n: one row per (user, movie); ``spread`` as in :func:`pair_sums`."""
+    pairs = pair_sums(ratings, "user_id", ["movie_id"], spread)
+    return pairs_lookup(pairs, users.select("user_id", attribute), "user_id", how, spread)
+
+
+def movie_gender_wide(ratings: DataFrame, users: DataFrame, movies: DataFrame,
+                      spread: int | None = None) -> DataFrame:
     """Per-movie gender breakdown, wide: movie_id, title, male, female (float32 averages, NULL = N/A).
 
     Ratings of unknown users are dropped first (D4); other genders are
     ignored but their movie stays (D3).
     """
-    rated = salted_lookup(pair_sums(ratings, "user_id", ["movie_id"]), users.select("user_id", "gender"), "user_id")
+    rated = _with_user(ratings, users, "gender", "inner", spread)
     sums = category_sums(rated, "movie_id", "gender", GENDERS_WIDE)
     wide = widen_categories(sums, "movie_id", GENDERS_WIDE, ["male", "female"], places=None, as_float=True)
     return lookup(wide, _titles(movies), "movie_id", "default", {"title": UNKNOWN_TITLE}) \
         .select("movie_id", "title", "male", "female")
 
 
-def movie_age_wide(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
+def movie_age_wide(ratings: DataFrame, users: DataFrame, movies: DataFrame,
+                   spread: int | None = None) -> DataFrame:
     """Per-movie age breakdown, wide: movie_id, title and one float32 average per inclusive age group (NULL = NA)."""
-    rated = salted_lookup(pair_sums(ratings, "user_id", ["movie_id"]), users.select("user_id", "age"), "user_id")
+    rated = _with_user(ratings, users, "age", "inner", spread)
     grouped = rated.withColumn("age_group", age_group_inclusive("age"))
     # A pivot on the listed groups: one conditional aggregate per group. An explicit
     # ``groupBy().pivot()`` would aggregate twice (per movie and group, then per movie)
@@ -121,7 +129,8 @@ def _long_output(long: DataFrame, movies: DataFrame, category: str) -> DataFrame
     return titled.select("movie_id", "title", category, "category_order", "avg_rating", text.alias("avg_text"), "n")
 
 
-def movie_gender_long(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
+def movie_gender_long(ratings: DataFrame, users: DataFrame, movies: DataFrame,
+                      spread: int | None = None) -> DataFrame:
     """Per-movie gender breakdown, long: every rated movie x (F, M): avg_rating (4 dp, NULL when n = 0), avg_text, n.
 
     ``category_order`` is the position in the fixed list (O3): a report is
@@ -130,16 +139,15 @@ def movie_gender_long(ratings: DataFrame, users: DataFrame, movies: DataFrame) -
     Unknown users form an ``Unknown`` group that the fixed category list then
     leaves out, while their movies stay (D2).
     """
-    rated = salted_lookup(pair_sums(ratings, "user_id", ["movie_id"]), users.select("user_id", "gender"), "user_id",
-                          "left").withColumn("gender", F.coalesce("gender", F.lit(UNKNOWN_GROUP)))
+    rated = _with_user(ratings, users, "gender", "left", spread).withColumn("gender", F.coalesce("gender", F.lit(UNKNOWN_GROUP)))
     sums = category_sums(rated, "movie_id", "gender", GENDERS_LONG)
     return _long_output(densify_categories(sums, "movie_id", GENDERS_LONG, "gender"), movies, "gender")
 
 
-def movie_age_long(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
+def movie_age_long(ratings: DataFrame, users: DataFrame, movies: DataFrame,
+                   spread: int | None = None) -> DataFrame:
     """Per-movie age breakdown, long: every rated movie x 6 half-open age groups, as in :func:`movie_gender_long`."""
-    rated = salted_lookup(pair_sums(ratings, "user_id", ["movie_id"]), users.select("user_id", "age"), "user_id",
-                          "left")
+    rated = _with_user(ratings, users, "age", "left", spread)
     rated = rated.withColumn("age_group", F.coalesce(age_group_half_open("age"), F.lit(UNKNOWN_GROUP)))
     sums = category_sums(rated, "movie_id", "age_group", AGE_LABELS_HALF_OPEN)
     return _long_output(densify_categories(sums, "movie_id", AGE_LABELS_HALF_OPEN, "age_group"),

@@ -15,8 +15,9 @@ def _plan(spark, name):
     return explain_text(E.queries()[name](spark, SF_SMALL), "formatted")
 
 
-# broadcasts that remain without automatic broadcasting: the partition offsets of the global ranking
-RANKED = {"movie_rating_ranked", "genre_rating", "occupation_rating", "render_report_lines"}
+# broadcasts that remain without automatic broadcasting: one row per partition (places of sorted rows) or per split
+RANKED = {"movie_rating_ranked", "genre_rating", "occupation_rating", "render_report_lines", "ordered_text_output",
+          "ordered_word_freq", "ordered_topic_counts", "ordered_totals", "ordered_years", "ordered_gender_long"}
 
 
 @pytest.mark.parametrize("broadcast", ["10m", "-1"])
@@ -68,8 +69,61 @@ def test_scans_read_only_needed_columns(spark):
 
 
 def test_filter_reaches_the_scan(spark):
-    plan = _plan(spark, "scan_union_inputs")
-    assert "EqualTo(l_linestatus,F)" in plan
+    assert "Not(EqualTo(n_regionkey,0))" in _plan(spark, "lookup_inner")
+    assert "IsNotNull(l_quantity)" in _plan(spark, "scan_rating_lines_strict")
+
+
+def test_both_rating_inputs_are_one_scan(spark):
+    plan = explain_text(E.queries()["scan_union_inputs"](spark, SF_SMALL), "simple")
+    assert plan.count("lineitem.parquet") == 1 and plan.count("orders.parquet") == 1 and "Union" not in plan
+    plan = explain_text(E.queries()["scan_input_files"](spark, SF_SMALL), "simple")
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+
+
+BY_USER = ["movie_gender_wide", "movie_age_wide", "movie_gender_long", "movie_age_long"]
+
+
+def _below_users_join(spark, name, spread):
+    """Plan lines below the users join, and the place of the finished sums per (user, movie) among them."""
+    from critiq import plans
+    from critiq.sources import tables
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = explain_text(getattr(plans, name)(tables.ratings(spark, SF_SMALL, user=True), tables.users(spark, SF_SMALL),
+                                                  tables.movies(spark, SF_SMALL), spread), "simple").splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin [user_id" in line)
+    below = lines[join + 1:]
+    return below, next(i for i, line in enumerate(below) if "HashAggregate(keys=[user_id" in line and "movie_id" in line)
+
+
+@pytest.mark.parametrize("name", BY_USER)
+def test_users_join_sees_pairs(spark, name):
+    below, pairs = _below_users_join(spark, name, None)
+    dealt = next(line for line in below[pairs:] if "Exchange" in line)
+    assert "hashpartitioning(user_id" in dealt and "movie_id" in dealt      # a hot user is spread by its movies
+    after = next(line for line in below[pairs + 1:] if "Exchange" not in line and "HashAggregate" in line)
+    assert "partial_sum" in after                                           # repeats are combined before the shuffle
+
+
+@pytest.mark.parametrize("name", BY_USER)
+def test_pairs_and_users_join_share_one_partitioning(spark, name):
+    below, pairs = _below_users_join(spark, name, 8)
+    assert not any("Exchange" in line for line in below[:pairs])            # finished where the join needs it
+    dealt = next(line for line in below[pairs:] if "Exchange" in line)
+    assert "hashpartitioning(user_id" in dealt and "_salt" in dealt and "movie_id" not in dealt
+
+
+@pytest.mark.parametrize("name", BY_USER)
+def test_shared_partitioning_changes_no_row(spark, name):
+    from critiq import plans
+    from critiq.sources import tables
+
+    args = tables.ratings(spark, SF_SMALL, user=True), tables.users(spark, SF_SMALL), tables.movies(spark, SF_SMALL)
+    rows = [sorted(map(tuple, getattr(plans, name)(*args, spread).collect()), key=str) for spread in (None, 5)]
+    assert rows[0] == rows[1]
 
 
 def test_per_movie_analyses_do_not_read_orders(spark):
