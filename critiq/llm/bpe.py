@@ -45,11 +45,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-TABLE_SIZE = 1_000_000
+TABLE_SIZE = 400_000
 SLICE_CHARS = 1 << 18
 _NEVER = 1 << 60
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
-GROUP_CHARS = 8 << 20
+GROUP_CHARS = 2 << 20
 WORD_SYMBOLS = 48  # longer words are read one by one
 _ODD_BLANKS = regex.compile(r"[^\P{White_Space} \n]")  # any blank but space and line feed
 # what stands alone between letters in Latin text without apostrophes: one digit, or a run of other signs

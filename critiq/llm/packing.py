@@ -2,8 +2,8 @@
 
 A document is its token ids and one end id. Only a document longer than a
 sequence is cut, into full pieces and a shorter last one. Pieces are dealt
-by a hash into packing groups of about ``GROUP_DOCS`` documents, and each
-group is packed on its own: a bin is filled greedily with the longest piece
+by a hash into packing groups of about ``GROUP_PIECES`` pieces (however many
+documents they come from), and each group is packed on its own: a bin is filled greedily with the longest piece
 that still fits; if a gap is left, the bin's smallest piece is taken out and
 replaced by the two unpacked pieces that fill the expanded gap most tightly,
 if they fill it better. A group leaves about one open bin, so the groups
@@ -28,10 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from critiq.llm.bpe import Encoder, token_arrays
+from critiq.session import materialize
 
 SEQUENCE = 2048
 END_ID = 0
-GROUP_DOCS = 8192
+GROUP_PIECES = 8192
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, limit: int = SEQUENCE, id_col: str = "doc_id",
@@ -138,8 +139,12 @@ def pack(pieces: DataFrame, groups: int, limit: int = SEQUENCE) -> DataFrame:
         f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, limit: int = SEQUENCE, group_docs: int = GROUP_DOCS,
+def pack_documents(docs: DataFrame, tokenizer_path: str, limit: int = SEQUENCE, group_pieces: int = GROUP_PIECES,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Tokenise, cut and pack all documents; one row per piece."""
-    groups = max(1, -(-docs.count() // group_docs))
-    return pack(token_pieces(docs, tokenizer_path, limit, id_col, text_col), groups, limit)
+    """Tokenise, cut and pack all documents; one row per piece.
+
+    The pieces (a few numbers each) are written once: their count sets the number of groups, so the pieces of very
+    long documents are spread like any others.
+    """
+    pieces = materialize(token_pieces(docs, tokenizer_path, limit, id_col, text_col))
+    return pack(pieces, max(1, -(-pieces.count() // group_pieces)), limit)

@@ -72,9 +72,20 @@ def _check(docs, rows, limit):
 
 def test_documents_are_cut_and_packed_whole(spark):
     docs = spark.createDataFrame([(i, prose(i, i * 13 % 300), None, None, None) for i in range(150)], SCHEMA)
-    _check(docs.collect(), packing.pack_documents(docs, PATH, 256, group_docs=40).collect(), 256)
+    _check(docs.collect(), packing.pack_documents(docs, PATH, 256, group_pieces=40).collect(), 256)
 
 
 def test_edges(edge_docs, no_docs):
     _check(edge_docs.collect(), packing.pack_documents(edge_docs, PATH).collect(), 2048)
     assert packing.pack_documents(no_docs, PATH).collect() == []
+
+
+def test_pieces_of_a_long_document_are_spread(spark):
+    """Groups are counted in pieces: one document of most pieces does not fill one group."""
+    docs = spark.createDataFrame([(1, prose(1, 30_000))] + [(i, "short text") for i in range(2, 60)], "doc_id long, text string")
+    rows = packing.pack_documents(docs, PATH, 64, group_pieces=100).collect()
+    _check(docs.collect(), rows, 64)
+    groups = {}
+    for r in rows:
+        groups[r.sequence_id >> 32] = groups.get(r.sequence_id >> 32, 0) + 1
+    assert len(groups) >= len(rows) // 100 and max(groups.values()) < 200
