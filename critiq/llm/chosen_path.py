@@ -9,13 +9,23 @@ similarity ``J`` share a path of ``DEPTH`` levels with probability
 rarely. Every pair that meets is compared, or lies in one group already:
 
 * A node with at most ``LEAF`` documents gives all its pairs as candidates.
-* A larger one first links its documents to one of them, drawn by a hash.
-  The confirmed links are contracted. In every large node that still holds
-  several groups, the documents outside its largest group are then compared
-  with all of the node on full sets, in parts of bounded size. This costs
-  the product of the two counts, so a family of n documents of which no two
-  are alike costs n^2 comparisons; links between different groups are all
-  that leaves a part.
+* A larger one first links its documents to one of them, drawn by a hash,
+  and the confirmed links are contracted. A node that is one group then is
+  done. Of the others, small work is compared exhaustively: the documents
+  outside the node's largest group against all of the node, if these are at
+  most ``EXHAUSTIVE`` comparisons. The rest branches on, recursively: every
+  document goes to ``BRANCHES`` children, each named by its minwise shingles
+  under ``STEP`` further hashes, until a node is small, one group or a single
+  document.
+
+Two sets at the threshold share ``BRANCHES * 0.8^STEP`` = 1.28 children of
+each node they share, on average, so the tree of their common nodes grows
+while that of unlike documents dies out: it ends early with a probability of
+0.32 per node, and a pair at the threshold is missed with at most
+``(1 - 0.8^4 * 0.68)^20`` = 0.14 % however deep its nodes are. Nodes that are
+still large after ``ROUNDS`` levels of branching are compared exhaustively,
+so that depth loses no link. Exhaustive comparison is dealt into parts of
+bounded size, and only links between different groups leave a part.
 
 Candidates are cut by set size and by a sketch whose estimate would have to
 be off by six standard errors to lose a link, and confirmed on full sets.
@@ -51,6 +61,10 @@ LEAF = 32
 SKETCH = 64
 SKETCH_LEAST = 0.5
 LIKE = 80  # per cent
+EXHAUSTIVE = 1 << 20  # comparisons up to which a node is not branched further
+STEP = 2
+BRANCHES = 2
+ROUNDS = 12
 _WORDS_KEPT = 150_000
 _BLOCK = 512
 _PART = 1 << 19  # shingles of a part that is compared exhaustively
@@ -70,6 +84,8 @@ _rng = np.random.default_rng(77001)
 _A = _rng.integers(0, 2 ** 64, (TREES * DEPTH, 1), dtype=np.uint64) | np.uint64(1)
 _B = _rng.integers(0, 2 ** 64, (TREES * DEPTH, 1), dtype=np.uint64)
 _SALT = _rng.integers(0, 2 ** 64, TREES, dtype=np.uint64)
+_A_ON = _rng.integers(0, 2 ** 64, (ROUNDS, STEP * BRANCHES, 1), dtype=np.uint64) | np.uint64(1)
+_B_ON = _rng.integers(0, 2 ** 64, (ROUNDS, STEP * BRANCHES, 1), dtype=np.uint64)
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -91,24 +107,29 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     return np.unique(out)
 
 
-def _minwise(shingles: np.ndarray) -> np.ndarray:
-    low = np.full(len(_A), 0xFFFFFFFF, np.uint64)
+def _minwise(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    low = np.full(len(a), 0xFFFFFFFF, np.uint64)
     x = shingles & np.uint64(0xFFFFFFFF)
     for at in range(0, len(x), _BLOCK):
-        hashed = _A * x[at:at + _BLOCK]
-        hashed += _B
+        hashed = a * x[at:at + _BLOCK]
+        hashed += b
         np.minimum(low, hashed.min(axis=1) >> np.uint64(32), out=low)
     return low
 
 
-def paths(shingles: np.ndarray) -> tuple[np.ndarray, bytes]:
-    """Node names (one per tree), and the sketch."""
-    low = _minwise(shingles)
-    node = _SALT.copy()
-    for level in low.reshape(DEPTH, TREES):
+def _names(levels: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    """Node names after the minwise shingles of ``levels`` (level by tree)."""
+    node = salt.copy()
+    for level in levels:
         node = (node ^ (level + np.uint64(0x9E3779B97F4A7C15))) * _MIX
         node ^= node >> np.uint64(31)
-    return node.view(np.int64), (low[:SKETCH] & np.uint64(255)).astype(np.uint8).tobytes()
+    return node.view(np.int64)
+
+
+def paths(shingles: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """Node names (one per tree) at the first ``DEPTH`` levels, and the sketch."""
+    low = _minwise(shingles, _A, _B)
+    return _names(low.reshape(DEPTH, TREES), _SALT), (low[:SKETCH] & np.uint64(255)).astype(np.uint8).tobytes()
 
 
 def _describe(docs: DataFrame, size: int) -> DataFrame:
@@ -228,29 +249,74 @@ def _links_of_part(table: pa.Table, like: int) -> pa.Table:
     return pa.table({"a": ids.take(take[0]), "b": ids.take(take[1])})
 
 
-def _across(large: DataFrame, groups: DataFrame, docs: DataFrame, size: int, like: int) -> DataFrame | None:
-    """All links that join groups (node, component) within a large node; None if no large node holds two groups.
+def _children(sets: DataFrame, level: int) -> DataFrame:
+    """id, steps: per row of ``sets``, what names its ``BRANCHES`` children at a level of branching."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            steps = [_names(_minwise(np.frombuffer(raw.as_py(), np.uint64), _A_ON[level], _B_ON[level])
+                            .reshape(STEP, BRANCHES), _SALT[:BRANCHES]) for raw in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(steps, pa.list_(pa.int64()))],
+                                             names=["id", "steps"])
 
-    In each node the documents outside its largest group meet all members.
-    Both sides are dealt into parts of about ``_PART`` shingles, and every
-    part of the one meets every part of the other in a task of its own.
+    return sets.mapInArrow(run, f"id {sets.schema['id'].dataType.simpleString()}, steps array<long>")
+
+
+def _rated(members: DataFrame) -> DataFrame:
+    """node, most, left, right, work of every node that holds several groups.
+
+    ``most``: its largest group; ``work``: comparisons of the documents
+    outside it with all of the node, dealt into ``left`` by ``right`` parts.
     """
-    known = groups.select(F.col("node").alias("id"), "component")
-    members = materialize(large.join(known, "id", "left").select(
-        "node", "id", "n", F.coalesce("component", "id").alias("component")))
     held = members.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("shingles"))
     nodes = held.groupBy("node").agg(
-        F.count(F.lit(1)).alias("groups"), F.sum("shingles").alias("shingles"),
+        F.count(F.lit(1)).alias("groups"), F.sum("n").alias("docs"), F.sum("shingles").alias("shingles"),
         F.max(F.struct("n", "component", "shingles")).alias("most")).where("groups > 1")
     parts = [F.ceil(n / _PART).alias(name) for n, name in (
         (F.col("shingles") - F.col("most.shingles"), "left"), (F.col("shingles"), "right"))]
-    nodes = materialize(nodes.select("node", F.col("most.component").alias("most"), *parts))
+    work = (F.col("docs") - F.col("most.n")).cast("double") * F.col("docs")
+    return nodes.select("node", F.col("most.component").alias("most"), *parts, work.alias("work"))
+
+
+def _leaves(members: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members (with their node's rating) of the nodes to compare exhaustively, after branching the larger ones.
+
+    ``nodes``: the rating of the nodes of ``members``, written already. One
+    row of counts per level reaches the driver.
+    """
+    leaves = None
+    for level in range(ROUNDS + 1):
+        small = F.lit(True) if level == ROUNDS else F.col("work") <= EXHAUSTIVE
+        found = members.join(nodes.where(small), "node")
+        leaves = found if leaves is None else leaves.unionByName(found)
+        if nodes.where(~small).isEmpty():
+            break
+        on = materialize(members.join(nodes.where(~small).select("node"), "node"))
+        steps = _children(sets.join(on.select("id").distinct().hint("shuffle_hash"), "id", "left_semi"), level)
+        on = on.join(steps, "id").select("node", "id", "n", "component", F.posexplode("steps").alias("branch", "step"))
+        members = materialize(on.select(F.xxhash64("node", "branch", "step").alias("node"), "id", "n", "component"))
+        nodes = materialize(_rated(members))
+    return leaves
+
+
+def _across(large: DataFrame, groups: DataFrame, docs: DataFrame, size: int, like: int) -> DataFrame | None:
+    """Links that join groups (node, component) within the large nodes; None if no large node holds two groups.
+
+    Large nodes branch into small ones (see the module). There the documents
+    outside the largest group meet all members: both sides are dealt into
+    parts of about ``_PART`` shingles, and every part of the one meets every
+    part of the other in a task of its own.
+    """
+    known = groups.select(F.col("node").alias("id"), "component")
+    members = materialize(large.join(known, "id", "left").select(
+        "node", "id", "n", F.coalesce("component", "id").alias("component")))
+    nodes = materialize(_rated(members))
     if nodes.isEmpty():
         return None
-    open_ = F.col("component") != F.col("most")
-    met = members.join(nodes, "node").select("node", "id", "component", open_.alias("open"), "left", "right")
+    wanted = members.join(nodes.select("node"), "node").select("id").distinct()
     sets = materialize(_sets(docs.withColumnRenamed("doc_id", "id").join(
-        met.select("id").distinct().hint("shuffle_hash"), "id"), size).where(F.length("set") > 0).distinct())
+        wanted.hint("shuffle_hash"), "id"), size).where(F.length("set") > 0).distinct())
+    open_ = F.col("component") != F.col("most")
+    met = _leaves(members, nodes, sets).select("node", "id", "component", open_.alias("open"), "left", "right")
 
     def dealt(rows: DataFrame, own: str, other: str, is_open: bool) -> DataFrame:
         drawn = F.pmod(F.xxhash64("id", "node"), F.col(own)).alias(own)

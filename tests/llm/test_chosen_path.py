@@ -54,22 +54,23 @@ def test_equals_brute_force(spark, size):
     assert got == _brute(rows, size)
 
 
-@pytest.mark.parametrize("leaf, right", [(32, 1.0), (4, 0.95)])
-def test_a_large_group_branches(spark, monkeypatch, leaf, right):
-    # with LEAF 4 nearly all nodes of the group are large, the hardest case: links are then found by
-    # drawn centers and deeper nodes alone, and a borderline member may stay apart (README)
+@pytest.mark.parametrize("leaf", [32, 4])
+def test_a_large_group_is_linked_as_by_brute_force(spark, monkeypatch, leaf):
+    # with LEAF 4 nearly all nodes of the group are large
     monkeypatch.setattr(C, "LEAF", leaf)
     rows = _copies(4, groups=2, most=80) + [(1000 + i, prose(i, 50)) for i in range(20)]
     frame = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)
     got = {r.doc_id: r.component_id for r in C.near_groups(frame, 2).collect()}
-    want = {i: c for i, (_, c, _) in _brute(rows, 2).items()}
-    assert all(want[i] == want[c] for i, c in got.items())  # no wrong link
-    assert sum(got[i] == want[i] for i in want) >= right * len(want)
+    assert got == {i: c for i, (_, c, _) in _brute(rows, 2).items()}
 
 
-def test_members_alike_only_to_each_other_are_linked_in_a_large_group(spark, monkeypatch):
-    # one template of which hardly two documents are alike (0.71), and a borderline copy (0.82) of each
+@pytest.mark.parametrize("exhaustive, rounds, least", [(1 << 20, 12, 1.0), (60, 12, 0.97), (60, 1, 1.0)])
+def test_members_alike_only_to_each_other_are_linked_in_a_large_group(spark, monkeypatch, exhaustive, rounds, least):
+    # one template of which hardly two documents are alike (0.71), and a borderline copy (0.82) of each;
+    # with 60 comparisons a node, all large nodes branch on, several levels deep or until ROUNDS ends it
     monkeypatch.setattr(C, "LEAF", 1)
+    monkeypatch.setattr(C, "EXHAUSTIVE", exhaustive)
+    monkeypatch.setattr(C, "ROUNDS", rounds)
     rnd, rows = random.Random(21), []
     template = prose(77, 120, 5000).split()
     for g in range(100):
@@ -83,7 +84,25 @@ def test_members_alike_only_to_each_other_are_linked_in_a_large_group(spark, mon
     frame = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)
     want = {i: c for i, (_, c, _) in _brute(rows, 2).items()}
     assert 50 < len(set(want.values())) <= 100
-    assert {r.doc_id: r.component_id for r in C.near_groups(frame, 2).collect()} == want
+    got = {r.doc_id: r.component_id for r in C.near_groups(frame, 2).collect()}
+    assert all(want[i] == want[c] for i, c in got.items())  # no wrong link
+    assert sum(got[i] == want[i] for i in want) >= least * len(want)
+
+
+def test_branching_splits_nodes_and_keeps_like_documents_together(spark):
+    rnd, sets = random.Random(5), []
+    for i in range(100):
+        own = [rnd.getrandbits(63) for _ in range(100)]
+        sets += [(2 * i, own), (2 * i + 1, own[:90] + [rnd.getrandbits(63) for _ in range(10)])]  # 0.82 alike
+    raw = [(i, bytearray(C.np.unique(C.np.array(x, C.np.uint64)).tobytes())) for i, x in sets]
+    frame = spark.createDataFrame(raw, "id long, set binary")
+    together = 0
+    for level in range(3):
+        steps = {r.id: r.steps for r in C._children(frame, level).collect()}
+        assert all(len(s) == C.BRANCHES for s in steps.values())
+        together += sum(x == y for i in range(100) for x, y in zip(steps[2 * i], steps[2 * i + 1]))
+        assert all(steps[0][k] != steps[2 * i][k] for i in range(1, 100) for k in range(C.BRANCHES))
+    assert 0.55 < together / (300 * C.BRANCHES) < 0.8  # 0.82^2 = 0.67 expected
 
 
 def test_words_are_ascii_lower_cased_and_parted_by_ascii_blanks(spark):
