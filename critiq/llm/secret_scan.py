@@ -12,7 +12,10 @@ whole.
 
 Positions are code points, end exclusive. Spark's regex functions return
 texts, not places, so places are summed up from the pieces between the
-matches (``split``) and the matches themselves.
+matches (``split``) and the matches themselves. Running values over the
+spans of a text are taken in two levels (``_running``), overlaps by binary
+search and masked texts from blocks of the text, so that a text with very
+many spans costs about as much per span as one with few.
 
 Defined cases: NULL text is the empty text and has no spans; without
 labelled tokens of both classes the models add nothing; repeated rows are
@@ -46,7 +49,39 @@ SMOOTHING = 5.0  # weight of the single-character rates in each transition's rat
 MARGIN = 0.7
 MASK = "[REDACTED]"
 
-SPAN = "array<struct<start:int,kind:int,end:int,token:string>>"
+SPAN = "struct<start:int,kind:int,end:int,token:string>"
+_SLICE = 64  # items whose running values are taken together
+_BLOCK = 4096  # code points of a block that a masked text is put together from
+_HALVES = [1 << k for k in reversed(range(28))]  # a text of 2 GiB has fewer spans than their sum
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value taken once, however often it is used in lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(items: Column, first: Column, after, emit, item_kind: str, out_kind: str) -> Column:
+    """Array of ``emit(at, item)``, where ``at`` is ``first`` and then ``after(at, item)``; ``items`` must not be empty.
+
+    An aggregate copies its array with every item it adds, so the items are
+    cut into slices: one aggregate finds the value before each slice, then
+    one per slice emits its rows.
+    """
+    def grown(acc: Column, at: Column, row: Column) -> Column:
+        return F.struct(at.alias("at"), F.concat(acc["out"], F.array(row)).alias("out"))
+
+    def begun(at: Column, kind: str) -> Column:
+        return F.struct(at.alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+
+    places = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / _SLICE).cast("int"))
+    slices = _bound(items, lambda x: F.transform(places, lambda i: F.slice(x, i * _SLICE + 1, F.lit(_SLICE))))
+    slices = F.aggregate(
+        slices, begun(first, f"struct<at:int,items:array<{item_kind}>>"),
+        lambda acc, x: grown(acc, F.aggregate(x, acc["at"], after), F.struct(acc["at"].alias("at"), x.alias("items"))),
+        lambda acc: acc["out"])
+    return F.flatten(F.transform(slices, lambda x: F.aggregate(
+        x["items"], begun(x["at"], out_kind), lambda acc, y: grown(acc, after(acc["at"], y), emit(acc["at"], y)),
+        lambda acc: acc["out"])))
 
 
 def _matches(text: Column, pattern: str, kind: int, tested: int = 0) -> Column:
@@ -54,19 +89,19 @@ def _matches(text: Column, pattern: str, kind: int, tested: int = 0) -> Column:
     pieces = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     tokens = F.regexp_extract_all(text, F.lit(pattern), F.lit(tested)) if tested else found
-    parts = F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), F.arrays_zip(found.alias("m"), tokens.alias("t")),
+    parts = F.zip_with(pieces, F.arrays_zip(found.alias("m"), tokens.alias("t")),
                        lambda p, m: F.struct(F.length(p).alias("gap"), F.length(m["m"]).alias("len"),
                                              m["t"].alias("token")))
+    parts = F.filter(parts, lambda x: x["len"].isNotNull())  # the piece after the last match has none
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + x["len"]).alias("end"),
+    def span(at: Column, x: Column) -> Column:
+        start = at + x["gap"]
+        return F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + x["len"]).alias("end"),
                         x["token"].alias("token"))
-        return F.struct((start + x["len"]).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    empty = F.array().cast(SPAN)
-    spans = F.aggregate(parts, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda a: a["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(empty)
+    spans = _running(parts, F.lit(0), lambda at, x: at + x["gap"] + x["len"], span,
+                     "struct<gap:int,len:int,token:string>", SPAN)
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def base_spans(text: Column) -> Column:
@@ -139,19 +174,33 @@ def randomness(token: Column, ratios: list[float]) -> Column:
     return F.aggregate(steps, F.lit(0.0), lambda s, x: s + x) / n
 
 
-def all_spans(text: Column, base: Column, ratios: list[float], margin: float = MARGIN) -> Column:
-    """Base and ``markov`` spans, sorted by start, then kind."""
-    added = F.filter(_matches(text, CANDIDATE, 3), lambda c: ~F.exists(
-        base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])) & (randomness(c["token"], ratios) > margin))
-    return F.array_sort(F.concat(base, added))
+def _touched(span: Column, others: Column) -> Column:
+    """Does ``span`` overlap one of ``others`` (ascending, not overlapping each other)? Found by binary search."""
+    passed = F.aggregate(F.lit(_HALVES), F.lit(0), lambda at, half: F.when(
+        F.get(others, at + half - 1)["end"] <= span["start"], at + half).otherwise(at))
+    return F.coalesce(F.get(others, passed)["start"] < span["end"], F.lit(False))
+
+
+def added_spans(text: Column, assign: Column, ratios: list[float], margin: float = MARGIN) -> Column:
+    """``markov`` spans: candidates over the margin that touch no base span.
+
+    ``assign``: the spans of that kind. Those of the other kinds are made of characters of candidates only, so
+    a candidate touches one if it holds one.
+    """
+    return F.filter(_matches(text, CANDIDATE, 3), lambda c: ~c["token"].rlike(f"{ACCESS}|{HEX}")
+                    & ~_touched(c, assign) & (randomness(c["token"], ratios) > margin))
 
 
 def scan(docs: DataFrame, ratios: list[float], text_col: str = "text", margin: float = MARGIN,
          base_col: str = "base_spans", spans_col: str = "spans") -> DataFrame:
-    """``docs`` with ``base_col`` and ``spans_col`` (arrays of start, kind, end, token)."""
+    """``docs`` with ``base_col`` (base spans) and ``spans_col`` (with ``markov`` spans): arrays of start, kind, end, token,
+    sorted by start, then kind."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+    assign = fresh_name(docs, "_assign")
     based = docs.withColumn(base_col, F.array_sort(base_spans(text)))
-    return based.withColumn(spans_col, all_spans(text, F.col(base_col), ratios, margin))
+    based = based.withColumn(assign, F.filter(base_col, lambda s: s["kind"] == 0))
+    added = added_spans(text, F.col(assign), ratios, margin)
+    return based.withColumn(spans_col, F.array_sort(F.concat(base_col, added))).drop(assign)
 
 
 def spans_text(spans: Column) -> Column:
@@ -184,14 +233,20 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask
     ratios = train_models(labelled_tokens(docs, sample_docs, id_col, text_col))
     base, spans = fresh_name(docs, "_base_spans"), fresh_name(docs, "_spans")
     scanned = scan(docs, ratios, text_col, MARGIN, base, spans)
-    text = F.col(text_col)
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        out = F.when(fresh, F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask)))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.otherwise(acc["out"]).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    masked = F.aggregate(spans, start, step, lambda a: F.concat(
-        a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    text, blocks = F.col(text_col), fresh_name(docs, "_blocks")
+    pattern = f"(?s).{{1,{_BLOCK}}}"  # code points
+    scanned = scanned.withColumn(blocks, F.when(F.size(spans) > 0, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))))
+
+    def between(start: Column, end: Column) -> Column:
+        first = F.floor(start / _BLOCK).cast("int")
+        n = F.floor((end - 1) / _BLOCK).cast("int") - first + 1
+        held = F.concat_ws("", F.slice(F.col(blocks), first + 1, F.greatest(n, F.lit(1))))
+        return F.when(end > start, F.substring(held, start - first * _BLOCK + 1, end - start)).otherwise("")
+
+    # what lies before each span and after all earlier ones; spans that overlap an earlier one share its mask
+    gaps = _running(F.col(spans), F.lit(0), lambda at, s: F.greatest(at, s["end"]), lambda at, s: F.struct(
+        at.alias("start"), s["start"].alias("end")), SPAN, "struct<start:int,end:int>")
+    gaps = F.filter(gaps, lambda g: g["start"] <= g["end"])
+    kept = F.array_join(F.transform(gaps, lambda g: F.concat(between(g["start"], g["end"]), F.lit(mask))), "")
+    masked = F.concat(kept, between(F.array_max(F.transform(spans, lambda s: s["end"])), F.length(text)))
     return scanned.withColumn(text_col, F.when(F.size(spans) > 0, masked).otherwise(text)).select(*docs.columns)

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -67,6 +68,69 @@ def test_redaction(spark):
     assert got == {1: "a😀 [REDACTED] b [REDACTED] c", 2: "clean text", 3: None}
 
 
+def _mixed(n, seed):
+    """A text of about ``n`` spans of all kinds, with wide and narrow gaps."""
+    rnd = random.Random(seed)
+
+    def drawn(letters, least):
+        return "".join(rnd.choice(letters) for _ in range(least + rnd.randrange(9)))
+
+    out = []
+    for _ in range(n):
+        out.append(rnd.choice(["é", "😀 ", "\n", " , ", prose(rnd.random(), 30 if rnd.random() < 0.05 else 1) + "; "]))
+        out.append(rnd.choice([drawn("0123456789abcdef", 16), "AKIA" + drawn("QWERTYUIOP", 14), "token=" + drawn("qXz79", 12),
+                               "my_very_long_account_secret: " + drawn("0123456789abcdef", 16), drawn("zQ7Xv2Lp9T", 20)]) + ".")
+    return "".join(out)
+
+
+def _masked(text, spans):
+    out, at = [], 0
+    for start, end in spans:
+        if start >= at:
+            out += [text[at:start], S.MASK]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_texts_with_many_spans(spark):
+    texts = [_mixed(n, n) for n in (1, 2, 63, 64, 65, 700, 3000)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], SCHEMA)
+    redacted = {r.doc_id: r.text for r in S.redact(docs).collect()}
+    for r in S.scan_documents(docs).collect():
+        text, spans = texts[r.doc_id], [x.split(":") for x in r.spans.split(",") if x]
+        places = [(int(a), S.KINDS.index(k), int(b)) for k, a, b in spans]
+        base = [x for x in places if x[1] < 3]
+        assert ",".join(f"{S.KINDS[k]}:{a}:{b}" for a, k, b in base) == _base(text) and places == sorted(places)
+        for a, k, b in places:
+            if k == 3:
+                assert re.fullmatch(S.CANDIDATE, text[a:b]) and not any(x < b and a < y for x, _, y in base)
+        assert redacted[r.doc_id] == _masked(text, [(a, b) for a, _, b in places])
+
+
+def test_added_spans_are_all_candidates_clear_of_base_spans(spark):
+    text = _mixed(900, 7)
+    docs = spark.createDataFrame([(1, text, None, None, None)], SCHEMA)
+    got = S.scan(docs, [1.0] * len(S.ALPHABET) ** 2).first()  # every candidate is over the margin
+    base = [(s.start, s.end) for s in got.base_spans]
+    want = [(m.start(), m.end()) for m in re.finditer(S.CANDIDATE, text)
+            if not any(x < m.end() and m.start() < y for x, y in base)]
+    assert [(s.start, s.end) for s in got.spans if s.kind == 3] == want and len(want) > 50
+
+
+def test_time_grows_with_the_spans(spark):
+    def seconds(n):
+        rnd = random.Random(n)
+        text = " ".join("".join(rnd.choices("0123456789abcdef", k=32)) for _ in range(n))
+        docs = spark.createDataFrame([(1, text, None, None, None)], SCHEMA)
+        start = time.monotonic()
+        assert S.scan_documents(docs, sample_docs=1).first().n_hex == n
+        assert S.redact(docs).first().text == " ".join([S.MASK] * n)
+        return time.monotonic() - start
+
+    seconds(100)
+    assert seconds(40_000) < 8 * seconds(10_000) + 5
+
+
 def test_edges(edge_docs, no_docs):
     rows = {r.doc_id: r for r in S.scan_documents(edge_docs).collect()}
     assert rows[2].spans == rows[3].spans == "" and rows[2].n_hex == 0
