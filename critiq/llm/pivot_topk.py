@@ -11,16 +11,19 @@ A query first visits the annuli around its own distance from the nearest
 pivots until they hold enough vectors, which gives a bound for its k-th
 score; then it expands to every annulus whose triangle-inequality bound
 still reaches that score, and to no other. Cells are cut into chunks of
-about ``CHUNK`` vectors by a hash, so no cell, and no vector that many rows
-share, is held by one task.
+about ``CHUNK`` vectors and the queries that visit a cell into parts of about
+``VISITORS`` by hashes, so no cell, no vector that many rows share and no crowd
+of queries is held by one task; the best of all parts are merged. Cells that
+no query visits are not moved.
 
 The pivots are fitted on at most ``SAMPLE`` vectors (smallest id hashes);
 every vector is indexed, and the result is exact.
 
 Defined cases: vectors that are NULL or hold NULL or non-finite components,
 and rows with a NULL id, take no part; shorter vectors are padded with
-zeros; exact repeats of a row count once, and rows with the query's id are
-never its candidates; an empty table gives an empty result.
+zeros; every row is a candidate, repeats too, except rows with the query's
+id; rows of one id are one query, with the least of their scaled vectors; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,6 +41,7 @@ from critiq.session import materialize
 PIVOTS, RINGS = 24, 12
 SAMPLE = 4096
 CHUNK = 4096
+VISITORS = 8192
 SCALE = 256.0
 
 
@@ -145,59 +149,79 @@ def build_index(rows: DataFrame) -> Index | None:
     return index
 
 
-def _keyed(rows: DataFrame, index: Index) -> DataFrame:
-    """cell, chunk, vec_id, vector (packed doubles) of every vector."""
+def _keyed(rows: DataFrame, index: Index, parts: dict[int, int]) -> DataFrame:
+    """cell, chunk, part, vec_id, vector (packed doubles): every vector once for each part of its cell's visitors."""
     chunks = dict(zip(index.cells.tolist(), index.chunks().tolist()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _scaled(batch.column(1), index.width)
             cell, _ = index.key(x)
-            parts = np.array([chunks.get(c, 1) for c in cell.tolist()], np.int64)
+            times = np.array([parts.get(c, 0) for c in cell.tolist()], np.int64)
+            n = np.array([chunks.get(c, 1) for c in cell.tolist()], np.int64)
             mixed = batch.column(0).to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            chunk = (mixed >> np.uint64(33)).astype(np.int64) % np.maximum(parts, 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cell), pa.array(chunk), batch.column(0), pa.array([v.tobytes() for v in x], pa.binary())],
-                names=["cell", "chunk", "vec_id", "vector"])
+            chunk = (mixed >> np.uint64(33)).astype(np.int64) % np.maximum(n, 1)
+            for part in range(int(times.max(initial=0))):
+                here = np.flatnonzero(times > part)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cell[here]), pa.array(chunk[here]), pa.array(np.full(len(here), part)),
+                     batch.column(0).take(pa.array(here)), pa.array([x[i].tobytes() for i in here], pa.binary())],
+                    names=["cell", "chunk", "part", "vec_id", "vector"])
 
-    return rows.mapInArrow(run, "cell long, chunk long, vec_id long, vector binary")
+    return rows.mapInArrow(run, "cell long, chunk long, part long, vec_id long, vector binary")
 
 
-def _visits(queries: DataFrame, index: Index, k: int) -> DataFrame:
-    """cell, chunk, query_id, vector of every visit.
+def _reached(batch: pa.RecordBatch, index: Index, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The scaled vectors of a batch of queries, and the pairs (row, annulus) that they visit.
 
     Queries without a ``bound`` column visit the annuli nearest to them
     that together hold more than ``k`` vectors; those with one, every other
     annulus whose best possible score reaches the bound.
     """
-    bounded = "bound" in queries.columns
+    x = _scaled(batch.column(1), index.width)
+    least, best = index.reach(x)
+    order = np.argsort(least, axis=1, kind="stable")
+    held = np.cumsum(index.size[order], axis=1) - index.size[order]
+    open_ = np.zeros(least.shape, bool)
+    np.put_along_axis(open_, order, held <= k, axis=1)
+    if "bound" in batch.schema.names:
+        bound = batch.column("bound").to_numpy(zero_copy_only=False).astype(np.float64)
+        open_ = ~open_ & (np.isnan(bound)[:, None] | (best >= bound[:, None]))
+    return x, *np.nonzero(open_)
+
+
+def _parts(queries: DataFrame, index: Index, k: int) -> dict[int, int]:
+    """Parts of about ``VISITORS`` queries for each visited cell."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells, n = np.unique(_reached(batch, index, k)[2], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(index.cells[cells]), pa.array(n)], names=["cell", "n"])
+
+    found = queries.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    return {r["cell"]: -(-r["n"] // VISITORS) for r in found.collect()}  # at most PIVOTS * RINGS rows
+
+
+def _visits(queries: DataFrame, index: Index, k: int, parts: dict[int, int]) -> DataFrame:
+    """cell, chunk, part, query_id, vector of every visit."""
     chunks = index.chunks()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _scaled(batch.column(1), index.width)
-            least, best = index.reach(x)
-            order = np.argsort(least, axis=1, kind="stable")
-            held = np.cumsum(index.size[order], axis=1) - index.size[order]
-            seeds = np.zeros(least.shape, bool)
-            np.put_along_axis(seeds, order, held <= k, axis=1)
-            if bounded:
-                bound = batch.column(2).to_numpy(zero_copy_only=False).astype(np.float64)
-                open_ = ~seeds & (np.isnan(bound)[:, None] | (best >= bound[:, None]))
-            else:
-                open_ = seeds
-            query, place = np.nonzero(open_)
+            x, query, place = _reached(batch, index, k)
+            mixed = batch.column(0).to_numpy().astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+            drawn = (mixed >> np.uint64(33)).astype(np.int64)
             for at in range(0, len(query), 4096):
                 q, p = query[at:at + 4096], place[at:at + 4096]
                 times = chunks[p]
                 q, cell = np.repeat(q, times), np.repeat(index.cells[p], times)
                 chunk = np.arange(len(q)) - np.repeat(np.cumsum(times) - times, times)
+                part = drawn[q] % np.array([parts[c] for c in cell.tolist()], np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell), pa.array(chunk), batch.column(0).take(pa.array(q)),
+                    [pa.array(cell), pa.array(chunk), pa.array(part), batch.column(0).take(pa.array(q)),
                      pa.array([x[i].tobytes() for i in q], pa.binary())],
-                    names=["cell", "chunk", "query_id", "vector"])
+                    names=["cell", "chunk", "part", "query_id", "vector"])
 
-    return queries.mapInArrow(run, "cell long, chunk long, query_id long, vector binary")
+    return queries.mapInArrow(run, "cell long, chunk long, part long, query_id long, vector binary")
 
 
 def _scores(data: pa.Table, asked: pa.Table, width: int, k: int) -> pa.Table:
@@ -206,8 +230,8 @@ def _scores(data: pa.Table, asked: pa.Table, width: int, k: int) -> pa.Table:
     if data.num_rows and asked.num_rows:
         x = np.frombuffer(b"".join(data["vector"].to_pylist())).reshape(-1, width)
         ids = data["vec_id"].to_numpy()
-        _, first = np.unique(np.column_stack([ids, x]), axis=0, return_index=True)  # exact repeats once, by id
-        x, ids = x[first], ids[first]
+        order = np.argsort(ids, kind="stable")  # ties go to smaller ids
+        x, ids = x[order], ids[order]
         names = asked["query_id"].to_numpy()
         vectors = asked["vector"].to_pylist()
         for at in range(0, len(names), 512):
@@ -225,9 +249,11 @@ def _scores(data: pa.Table, asked: pa.Table, width: int, k: int) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
 
 
-def _visit(queries: DataFrame, data: DataFrame, index: Index, k: int) -> DataFrame:
-    width = index.width
-    met = data.groupBy("cell", "chunk").cogroup(_visits(queries, index, k).groupBy("cell", "chunk")).applyInArrow(
+def _visit(queries: DataFrame, rows: DataFrame, index: Index, k: int) -> DataFrame:
+    width, keys = index.width, ["cell", "chunk", "part"]
+    parts = _parts(queries, index, k)
+    met = _keyed(rows, index, parts).groupBy(*keys).cogroup(
+        _visits(queries, index, k, parts).groupBy(*keys)).applyInArrow(
         lambda a, b: _scores(a, b, width, k), "query_id long, vec_id long, score long")
     return _best(met, k)
 
@@ -246,11 +272,13 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
     if index is None:
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id",
                            F.lit(0).cast("long").alias("score")).where(F.lit(False))
-    data = _keyed(rows, index)
-    queries = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
-    queries = queries.select(F.col("vec_id").alias("query_id"), "embedding")
-    near = materialize(_visit(queries, data, index, k).drop("rank"))  # k rows per query
+    scaled = F.transform("embedding", lambda x: F.floor(x * SCALE))
+    queries = rows.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(
+        F.min_by("embedding", scaled).alias("embedding"))
+    queries = materialize(queries)
+    near = materialize(_visit(queries, rows, index, k).drop("rank"))  # k rows per query
     bounds = near.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("bound"))
-    rest = _visit(queries.join(bounds, "query_id", "left").select("query_id", "embedding", "bound"), data, index, k)
+    bounded = materialize(queries.join(bounds, "query_id", "left").select("query_id", "embedding", "bound"))
+    rest = _visit(bounded, rows, index, k)
     found = _best(near.unionByName(rest.drop("rank")), k)
     return found.select("query_id", "rank", "vec_id", "score")

@@ -116,9 +116,10 @@ ORACLE_SQL: dict[str, str] = {
         FROM embeddings
         WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
           AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+    asked AS (SELECT vec_id, min(v) AS v FROM usable WHERE vec_id % 50 = 0 GROUP BY vec_id),
     scored AS (
         SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-        FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+        FROM asked q JOIN usable c ON c.vec_id <> q.vec_id),
     ranked AS (
         SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
                vec_id, score FROM scored)

@@ -9,15 +9,13 @@ SCHEMA = "vec_id long, embedding array<float>, label int"
 
 
 def _brute(rows, k, every):
-    whole = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
-            whole.setdefault(i, [int(np.floor(256 * float(np.float32(x)))) for x in v])
+    whole = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v in rows
+             if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for q in sorted(whole):
-        if q % every == 0:
-            scored = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)
-            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
+    for q in sorted({i for i, _ in whole if i % every == 0}):
+        own = min(v for i, v in whole if i == q)
+        scored = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in whole if i != q)
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
     return out
 
 
@@ -56,6 +54,21 @@ def test_one_vector_of_most_rows(spark, monkeypatch):
     assert _run(spark, rows) == _brute(rows, 5, 10)
 
 
+def test_many_queries_of_one_cell_are_parted(spark, monkeypatch):
+    monkeypatch.setattr(pivot_topk, "CHUNK", 32)
+    monkeypatch.setattr(pivot_topk, "VISITORS", 7)
+    rnd = np.random.default_rng(5)
+    x = rnd.normal(size=(300, 4)) * 0.01 + [1.0, 2.0, 3.0, 4.0]  # nearly one place: all queries visit the same cells
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    assert _run(spark, rows, every=3) == _brute(rows, 5, 3)
+
+
+def test_repeated_rows_are_candidates_each(spark):
+    rows = [(0, [1.0]), (0, [1.0]), (0, [3.0]), (1, [2.0]), (1, [2.0]), (1, [5.0]), (2, [0.5]), (10, [4.0]), (10, [4.0])]
+    got = _run(spark, rows, 4)
+    assert got == _brute(rows, 4, 10) and [r[2] for r in got if r[0] == 0] == [1, 10, 10, 1]
+
+
 def test_clashing_columns_are_ignored(spark):
     frame = spark.createDataFrame([(i, [float(i)], 0, 0, 0) for i in range(20)],
                                   "vec_id long, embedding array<float>, cell int, score int, bound int")
