@@ -6,7 +6,10 @@ node is a plain minimum (combined before the shuffle), written once and
 joined back as a table of its own, so that a node with a large share of all
 links is split by adaptive execution instead of loading one task. Rounds
 grow with the logarithm of the longest path. Nothing but one row of check
-sums per round reaches the driver.
+sums per round reaches the driver. Tables of links are mostly small against
+what they come from, so each is kept in partitions of about ``ROWS`` links:
+a round of a small one then is a few tasks and files, not a few per shuffle
+partition, and one of at most ``ROWS`` links needs no shuffle at all.
 """
 
 from __future__ import annotations
@@ -17,6 +20,9 @@ from pyspark.sql import functions as F
 from critiq.session import materialize
 
 
+ROWS = 1 << 18
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component: the smallest node reachable, for every node that has a link to another node.
 
@@ -26,15 +32,18 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                         .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("hi") > F.col("lo"))).distinct())
     now, before = _sums(edges), None
     while now != before:
-        both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
+        n = -(-now[0] // ROWS) or 1
+        edges = edges.coalesce(n)
+        both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo"))).coalesce(n)
         least = materialize(both.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("m"))
-                            .select("node", F.least("node", "m").alias("m")))
+                            .select("node", F.least("node", "m").alias("m")).coalesce(n))
         large = edges.join(least, edges["lo"] == least["node"]).select("hi", F.col("m").alias("lo")).distinct()
-        large = materialize(large)
-        least = materialize(large.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("m")))
+        large = materialize(large.coalesce(n))
+        least = materialize(large.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("m")).coalesce(n))
         moved = (large.join(least, large["hi"] == least["node"]).where(F.col("lo") > F.col("m"))
                  .select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
-        edges = materialize(moved.unionByName(least.select(F.col("node").alias("hi"), F.col("m").alias("lo"))).distinct())
+        moved = moved.unionByName(least.select(F.col("node").alias("hi"), F.col("m").alias("lo")))
+        edges = materialize(moved.coalesce(n).distinct().coalesce(n))
         now, before = _sums(edges), now
     heads = edges.select(F.col("lo").alias("node")).distinct()
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(

@@ -4,6 +4,7 @@ from collections import defaultdict
 import pytest
 
 from critiq.llm import chosen_path as C
+from critiq.llm import components as Links
 from critiq.llm.components import components
 from tests.llm.conftest import SCHEMA, prose
 
@@ -127,7 +128,9 @@ def test_edges(edge_docs, no_docs):
     assert C.near_groups(no_docs).collect() == [] and C.keep_one(no_docs).collect() == []
 
 
-def test_components(spark):
+@pytest.mark.parametrize("rows", [1 << 18, 50])
+def test_components(spark, monkeypatch, rows):
+    monkeypatch.setattr(Links, "ROWS", rows)  # one partition, or several
     rnd = random.Random(6)
     links = [(k, k + 1) for k in range(200, 260)] + [(500, 500 + k) for k in range(1, 300)]
     links += [(rnd.randrange(100), rnd.randrange(100)) for _ in range(60)] + [(7, 7), (None, 3), (3, None)]
