@@ -79,3 +79,36 @@ def test_anchors_sit_in_every_string_and_depend_on_it_alone():
         assert ((marks >= p) & (marks <= p + S.REACH)).any()
     own = S.anchors(data[100:150])
     assert set(own + 100) <= set(marks.tolist())
+
+
+def _shared_line(n):
+    line = "this line stands in a very large share of all the documents here"
+    return [(i, prose(5000 + i, i % 9) + " " + line + " " + prose(9000 + i, 3 + i % 7)) for i in range(n)]
+
+
+@pytest.mark.parametrize("block", [1 << 22, 4000])
+def test_hot_ranks_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(S, "BLOCK_BYTES", block)
+    monkeypatch.setattr(S, "FREQUENT", 2)
+    monkeypatch.setattr(S, "HOT", 4)
+    rows = _shared_line(150) + [(1000 + i, t) for i, t in _repeats(4)] + [(3000, None), (None, prose(1, 30))]
+    assert _run(spark, rows) == _brute(rows)
+
+
+def test_a_hot_rank_is_spread_over_buckets(spark):
+    rows = _shared_line(3000)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    blocks = frame.mapInArrow(S._to_blocks(1 << 16, 8),
+                              "block long, size long, payload binary, frequent binary, marks long").cache()
+    hot = S.hot_names(blocks, 0)
+    assert len(hot) == 0  # 3,000 are far below HOT
+    counts = blocks.select("frequent").where("length(frequent) > 0").mapInArrow(S._counts, "name long, n long")
+    hot = np.sort(np.array([r[0] for r in counts.groupBy("name").sum("n").where("`sum(n)` >= 2000").collect()],
+                           np.int64).view(np.uint64))
+    assert 1 <= len(hot) <= 8
+    records = {}
+    for bucket, names in ((r[0], r[1]) for r in blocks.select("block", "payload").mapInArrow(
+            S._first_records(32, hot), S._ROUND1).select("bucket", "names").collect()):
+        records[bucket] = records.get(bucket, 0) + len(names) // S.NAME_BYTES
+    dealt = [n for bucket, n in records.items() if bucket >= 32]
+    assert len(dealt) == 32 and max(dealt) < 2 * sum(dealt) / 32
