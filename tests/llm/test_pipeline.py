@@ -81,7 +81,7 @@ def test_stages_on_empty_tables(spark, no_docs, tables, name, stage):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.QUERIES) <= set(E.queries()) and "pipeline" in E.queries()
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES) and set(queries.ORACLE_SQL) <= set(E.oracle_sql())
 
