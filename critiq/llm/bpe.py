@@ -49,8 +49,9 @@ TABLE_SIZE = 400_000
 SLICE_CHARS = 1 << 18
 _NEVER = 1 << 60
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
-GROUP_CHARS = 2 << 20
+GROUP_CHARS = 1 << 20
 WORD_SYMBOLS = 48  # longer words are read one by one
+READ_WORDS = 1 << 13  # words that are read in step
 _ODD_BLANKS = regex.compile(r"[^\P{White_Space} \n]")  # any blank but space and line feed
 # what stands alone between letters in Latin text without apostrophes: one digit, or a run of other signs
 _WORD_ENDS = r"(\p{N}|[^ \n\p{L}\p{N}]+)"
@@ -145,7 +146,7 @@ class Automaton:
         sizes = np.array([len(w) for w in words], np.int64)
         order = np.argsort(-sizes, kind="stable")
         sizes, top = sizes[order], int(sizes.max(initial=0))
-        symbols = np.zeros((len(words), top), np.int64)
+        symbols = np.zeros((len(words), top), np.uint16)
         text = "".join([words[i] for i in order])
         symbols[np.arange(top) < sizes[:, None]] = np.frombuffer(text.encode("utf-16-le"), np.uint16)
         symbols = np.ascontiguousarray(symbols.T)
@@ -196,7 +197,7 @@ class Automaton:
         key = state << 20 | label
         known = self.arcs.get(key)
         if known is None:
-            if len(self.arcs) > 4 * TABLE_SIZE:
+            if len(self.arcs) >= TABLE_SIZE:
                 self.arcs.clear()
             known = self.arcs[key] = self._follow(state, label)
         return known
@@ -298,7 +299,8 @@ class Encoder:
         model = spec["model"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.automaton = Automaton(model["vocab"], merges, model["end_of_word_suffix"])
-        self.rules = Tokenizer.from_file(path)
+        # the library only normalises and splits here: it gets the rules without vocabulary and merges
+        self.rules = Tokenizer.from_str(json.dumps(spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}}))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         labels = [*self.automaton.labels]
         labels += [""] * (max(self.special.values(), default=-1) + 1 - len(labels))
@@ -316,7 +318,7 @@ class Encoder:
         symbols = [w if w.isascii() and w.isprintable() else
                    w.encode("utf-8").decode("latin-1").translate(self.symbols) for w in words]
         short = [w for w in symbols if len(w) <= WORD_SYMBOLS]
-        found = iter(self.automaton.read_all(short))
+        found = (value for k in range(0, len(short), READ_WORDS) for value in self.automaton.read_all(short[k:k + READ_WORDS]))
         return [next(found) if len(w) <= WORD_SYMBOLS else array("I", self.automaton.read(w)).tobytes()
                 for w in symbols]
 
@@ -435,13 +437,18 @@ def digests(encoder: Encoder, texts: list[str | None]) -> list[tuple[int, str, s
     return [(d.n, d.ids.hexdigest(), d.labels.hexdigest()) for d in found]
 
 
-def token_arrays(encoder: Encoder, texts: list[str | None]) -> list[np.ndarray]:
-    """The token ids (uint32) of each text."""
-    parts: list[list[np.ndarray]] = [[] for _ in texts]
+def token_arrays(encoder: Encoder, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+    """The token ids (uint32) of each text, in order; only those of one group of slices, or one text, are held at a time."""
+    parts: list[np.ndarray] = []
+    now = 0
     for e in encoder.encode_all(texts):
-        for owner, ids in e.parts():
-            parts[owner].append(ids)
-    return [p[0] if len(p) == 1 else np.concatenate([np.zeros(0, np.uint32), *p]) for p in parts]
+        for owner, ids in e.parts():  # every text has a slice, so owners rise by one at most
+            if owner != now:
+                yield parts[0] if len(parts) == 1 else np.concatenate(parts)
+                parts, now = [], owner
+            parts.append(ids)
+    if parts:
+        yield parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
@@ -472,7 +479,7 @@ def tokenize_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_
         encoder = None
         for batch in batches:
             encoder = encoder or Encoder(tokenizer_path)
-            ids = token_arrays(encoder, batch.column(1).to_pylist())
+            ids = token_arrays(encoder, (text.as_py() for text in batch.column(1)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32()))],
                 names=["doc_id", "token_ids"])

@@ -43,7 +43,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, limit: int = SEQUENCE, id
         for batch in batches:
             encoder = encoder or Encoder(tokenizer_path)
             rows = []
-            for i, tokens in enumerate(token_arrays(encoder, batch.column(1).to_pylist())):
+            for i, tokens in enumerate(token_arrays(encoder, (text.as_py() for text in batch.column(1)))):
                 ids = tokens.astype("<u4").tobytes() + END_ID.to_bytes(4, "little")
                 for k, at in enumerate(range(0, len(ids), 4 * limit)):
                     piece = ids[at:at + 4 * limit]

@@ -53,6 +53,25 @@ def test_full_tables_are_emptied(library, monkeypatch):
     assert bpe.digests(bpe.Encoder(PATH), texts) == [_want(library, t) for t in texts]
 
 
+def test_token_arrays_come_while_texts_are_read(library, encoder, monkeypatch):
+    """No more than a group of texts is held at a time: a whole batch of them used to be, with all its ids."""
+    monkeypatch.setattr(bpe, "GROUP_CHARS", 2000)
+    monkeypatch.setattr(bpe, "READ_WORDS", 7, raising=False)
+    texts, taken = [*_texts(), None, "", "last"], []
+
+    def each():
+        for text in texts:
+            taken.append(text)
+            yield text
+
+    found = iter(bpe.token_arrays(encoder, each()))
+    got = [next(found).tolist()]
+    assert len(taken) < 20
+    got += [ids.tolist() for ids in found]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert list(bpe.token_arrays(encoder, [])) == []
+
+
 def test_scalar_and_joint_reading_agree(encoder):
     rnd = random.Random(2)
     words = list({"".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randrange(1, 30)))
