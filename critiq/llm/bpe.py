@@ -32,10 +32,12 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -327,13 +329,13 @@ class Encoder:
         table = self.table
         if len(table) >= TABLE_SIZE:
             table.clear()
+            table[""] = b""  # between neighbouring blanks; no word that could be read
         found = list(map(table.get, words))
         unseen = [w for w, v in zip(words, found) if v is None]
         if not unseen:
             return found
         fresh = dict(zip(unseen, self._read(unseen)))
         table.update((w, v) for w, v in fresh.items() if len(w) <= 64)
-        table[""] = b""  # between neighbouring blanks
         return [fresh[w] if v is None else v for w, v in zip(words, found)]
 
     def _slices(self, text: str) -> Iterator[str]:
@@ -410,6 +412,17 @@ class Encoder:
             yield self._encoded(owners, group, marks)
 
 
+@lru_cache(maxsize=1)
+def _kept_encoder(path: str, size: int, changed: int) -> Encoder:
+    return Encoder(path)
+
+
+def worker_encoder(path: str) -> Encoder:
+    """One encoder per Python worker process: its tasks share the compiled file and the words read so far."""
+    at = os.stat(path)  # a file that was replaced is read anew
+    return _kept_encoder(path, at.st_size, at.st_mtime_ns)
+
+
 class _Digest:
     """Number of tokens, SHA-256 of the ids and of the decoded text, fed slice by slice."""
 

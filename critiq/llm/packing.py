@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from critiq.llm.bpe import Encoder, token_arrays
+from critiq.llm.bpe import token_arrays, worker_encoder
 from critiq.session import materialize
 
 SEQUENCE = 2048
@@ -41,7 +41,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, limit: int = SEQUENCE, id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer_path)
+            encoder = encoder or worker_encoder(tokenizer_path)
             rows = []
             for i, tokens in enumerate(token_arrays(encoder, (text.as_py() for text in batch.column(1)))):
                 ids = tokens.astype("<u4").tobytes() + END_ID.to_bytes(4, "little")

@@ -53,6 +53,24 @@ def test_full_tables_are_emptied(library, monkeypatch):
     assert bpe.digests(bpe.Encoder(PATH), texts) == [_want(library, t) for t in texts]
 
 
+def test_blanks_in_a_row_survive_an_emptied_table(library, monkeypatch):
+    """The empty word between them used to go with the table, and could not be read as a word."""
+    monkeypatch.setattr(bpe, "TABLE_SIZE", 5)
+    monkeypatch.setattr(bpe, "GROUP_CHARS", 1)
+    texts = ["one two three four five six", "seven  eight \n nine", " ", "ten,  eleven"]
+    assert bpe.digests(bpe.Encoder(PATH), texts) == [_want(library, t) for t in texts]
+
+
+def test_tasks_of_one_worker_share_an_encoder(tmp_path):
+    first = bpe.worker_encoder(PATH)
+    assert bpe.worker_encoder(PATH) is first
+    rules, copy = open(PATH, encoding="utf-8").read(), tmp_path / "rules.json"
+    copy.write_text(rules, encoding="utf-8")
+    first = bpe.worker_encoder(str(copy))
+    copy.write_text(rules + "\n", encoding="utf-8")  # a file that is replaced is read anew
+    assert bpe.worker_encoder(str(copy)) is not first
+
+
 def test_token_arrays_come_while_texts_are_read(library, encoder, monkeypatch):
     """No more than a group of texts is held at a time: a whole batch of them used to be, with all its ids."""
     monkeypatch.setattr(bpe, "GROUP_CHARS", 2000)
