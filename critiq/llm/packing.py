@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from critiq.llm.bpe import token_arrays, worker_encoder
+from critiq.llm.bpe import Encoder, token_arrays, worker_encoder
 from critiq.session import materialize
 
 SEQUENCE = 2048
@@ -36,12 +36,16 @@ GROUP_PIECES = 8192
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, limit: int = SEQUENCE, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32: the cut token sequences of every document (no shuffle)."""
+                 text_col: str = "text", share: bool = True) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32: the cut token sequences of every document (no shuffle).
+
+    With ``share`` the tasks of one Python worker share an encoder, which an idle worker holds until it ends;
+    without, every task makes its own and drops it, for jobs whose later stages need the memory.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in batches:
-            encoder = encoder or worker_encoder(tokenizer_path)
+            encoder = encoder or (worker_encoder if share else Encoder)(tokenizer_path)
             rows = []
             for i, tokens in enumerate(token_arrays(encoder, (text.as_py() for text in batch.column(1)))):
                 ids = tokens.astype("<u4").tobytes() + END_ID.to_bytes(4, "little")
@@ -140,11 +144,11 @@ def pack(pieces: DataFrame, groups: int, limit: int = SEQUENCE) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, limit: int = SEQUENCE, group_pieces: int = GROUP_PIECES,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text", share: bool = True) -> DataFrame:
     """Tokenise, cut and pack all documents; one row per piece.
 
     The pieces (a few numbers each) are written once: their count sets the number of groups, so the pieces of very
     long documents are spread like any others.
     """
-    pieces = materialize(token_pieces(docs, tokenizer_path, limit, id_col, text_col))
+    pieces = materialize(token_pieces(docs, tokenizer_path, limit, id_col, text_col, share))
     return pack(pieces, max(1, -(-pieces.count() // group_pieces)), limit)

@@ -75,6 +75,11 @@ def test_documents_are_cut_and_packed_whole(spark):
     _check(docs.collect(), packing.pack_documents(docs, PATH, 256, group_pieces=40).collect(), 256)
 
 
+def test_pieces_are_the_same_without_a_shared_encoder(edge_docs):
+    pieces = [sorted(map(str, packing.token_pieces(edge_docs, PATH, 16, share=share).collect())) for share in (True, False)]
+    assert pieces[0] == pieces[1]
+
+
 def test_edges(edge_docs, no_docs):
     _check(edge_docs.collect(), packing.pack_documents(edge_docs, PATH).collect(), 2048)
     assert packing.pack_documents(no_docs, PATH).collect() == []
